@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from idloom import schemas
 from idloom.operators.skew import attach, salted
 from idloom.schemas import BLOCK, DEMOGRAPHICS, SUFFIX
+from idloom.session import cut
 
 
 @dataclass
@@ -107,9 +108,13 @@ def document_owners(patients: DataFrame, linked: DataFrame, asked: DataFrame) ->
     return owned.groupBy(*docs).agg(F.min(F.struct(~F.col("mobile"), F.col("uuid").alias("uuid")))["uuid"].alias("owner"))
 
 
-def assign(batch: DataFrame, mobile: DataFrame, patients: DataFrame) -> DataFrame:
-    """The priority ladder: every batch row with uuid, match_type and mobile_app_uuid, or a reject reason."""
-    rows = keyed(batch, mobile, patients)
+def assign(batch: DataFrame, mobile: DataFrame, patients: DataFrame,
+           keep: Callable[[DataFrame], DataFrame] = cut) -> DataFrame:
+    """The priority ladder: every batch row with uuid, match_type and mobile_app_uuid, or a reject reason.
+
+    ``keep`` materialises the batch with its links, from which several branches start.
+    """
+    rows = keep(keyed(batch, mobile, patients))
     good = rows.filter(F.col("reject_reason").isNull())
     # priorities 1 and 2: a golden row has one number per source, so a link has a handful of records
     linked = good.filter(F.col("link").isNotNull())
@@ -186,17 +191,16 @@ def match_log(assigned: DataFrame, as_of) -> DataFrame:
 
 
 def resolve(batch: DataFrame, mobile: DataFrame, patients: DataFrame, as_of,
-            keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> Resolution:
+            keep: Callable[[DataFrame], DataFrame] = cut) -> Resolution:
     """Resolve new keys against the golden rows. Rows that carry a uuid already pass unmatched.
 
-    ``keep`` materialises the assignment, which golden rows, log and rejects are all derived from;
-    pipelines pass ``idloom.session.cut``.
+    ``keep`` materialises the assignment, which golden rows, log and rejects are all derived from.
     """
     given = None
     if "uuid" in batch.columns:
         given = batch.filter(F.col("uuid").isNotNull())
         batch = batch.filter(F.col("uuid").isNull()).drop("uuid")
-    result = keep(assign(batch, mobile, patients))
+    result = keep(assign(batch, mobile, patients, keep))
     done = result.filter(F.col("reject_reason").isNull())
     stored = schemas.fit(done, schemas.DET)
     if given is not None:

@@ -10,6 +10,9 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+from idloom.session import scratch, tune
 
 TABLES = ("customer", "events", "supplier", "lineitem", "orders", "part", "documents")
 
@@ -162,15 +165,30 @@ def with_clause(names: list[str]) -> str:
     return ",\n".join(f"{v} AS ({VIEWS[v].format(**plain)})" for v in closure(names))
 
 
+_STORED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
+
+
 class Inputs:
     """The views as DataFrames over one folder of driver tables; ``streams`` replaces tables by streams."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, **streams: DataFrame):
-        self.spark, self.sf_dir, self.streams = spark, sf_dir, streams
+        self.spark, self.sf_dir, self.streams = tune(spark), sf_dir, streams
 
     def table(self, name: str) -> DataFrame:
         return self.streams.get(name) or self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def stored(self, view: str) -> DataFrame:
+        """The view as a stored table, the form in which the operators meet these inputs in use; written
+        to the shared folder once per session and data folder."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, view)
+        if key not in _STORED:
+            path = scratch(self.spark, view)
+            df = getattr(self, view)
+            df.write.parquet(path)
+            _STORED[key] = (path, df.schema)
+        path, schema = _STORED[key]
+        return self.spark.read.schema(schema).parquet(path)
+
     def __getattr__(self, view: str) -> DataFrame:
         if view not in VIEWS:
             raise AttributeError(view)

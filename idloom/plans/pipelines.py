@@ -30,7 +30,7 @@ def pipeline_initial_load(inputs: dict[str, DataFrame], store: Store, as_of, las
     staged = cut(C.validated(C.conform_b(source_b.scan_source_b(clients))))
     good, rejects = C.split_rejects(staged)
     det = store.read("det")
-    out = resolve(insert_if_absent(det, good), store.read("mobile"), store.read("patients"), as_of, keep=cut)
+    out = resolve(insert_if_absent(det, good), store.read("mobile"), store.read("patients"), as_of)
     store.commit(batch_id, det=det.unionByName(out.assigned), patients=out.golden, matching_log=out.log)
     out.rejects = rejects.select(*schemas.RECORD_COLUMNS, "reject_reason").unionByName(out.rejects)
     return out
@@ -43,7 +43,7 @@ def apply_batch(good: DataFrame, store: Store, as_of, batch_id: str) -> Resoluti
     updated, pairs = upsert_known(known, det, patients, mobile, as_of)
     golden = cut(updated.golden)
     moved_mobile = cut(repoint_mobile(pairs, mobile))
-    added = resolve(new, moved_mobile, golden, as_of, keep=cut)
+    added = resolve(new, moved_mobile, golden, as_of)
     # accepted known rows overwrite, accepted new rows append, losers' rows follow their survivor
     after = merge_repoint(pairs, sink_upsert_det(det, updated.assigned)).unionByName(added.assigned)
     out = Resolution(

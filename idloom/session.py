@@ -1,4 +1,4 @@
-"""Session settings and the two ways of cutting a plan: checkpoint and scratch folder."""
+"""Session settings, and the shared folder in which plans are cut."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_DEBUGGING = "spark.python.sql.dataFrameDebugging.enabled"
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -15,6 +16,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     """A session with UTC time and adaptive execution; everything else is left to the cluster."""
     b = (SparkSession.builder.appName(app)
          .config("spark.sql.session.timeZone", "UTC")
+         .config(_DEBUGGING, "false")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true"))
@@ -39,8 +41,6 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError(f"{CHECKPOINT_DIR} must name a shared folder")
         path = tempfile.mkdtemp(prefix="idloom-")
         spark.conf.set(CHECKPOINT_DIR, path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
     return path
 
 
@@ -50,7 +50,20 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder, so that later steps neither recompute it nor depend
-    on the executor that produced it."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the shared folder and go on from there.
+
+    Later steps neither recompute it nor depend on the executor that produced it; they read only
+    the columns they need, and the file sizes tell Spark how to join it.
+    """
+    path = scratch(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Settings the operators count on, for a session that was built elsewhere."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # call-site capture for every Column expression; it costs more than analysing the plans here
+    if spark.conf.get(_DEBUGGING, "true") == "true" and spark.conf.isModifiable(_DEBUGGING):
+        spark.conf.set(_DEBUGGING, "false")
+    return spark

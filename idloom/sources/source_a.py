@@ -85,9 +85,11 @@ def parse_source_a(lines: DataFrame, delimiter: str = "|", min_fields: int = MIN
     spans = lines.select(
         "file", F.struct("line_no", starts.alias("s"), fields.alias("f")).alias("l"),
         F.explode(F.when(shared, F.array(chunk, chunk - 1)).otherwise(F.array(chunk))).alias("chunk"))
-    chunks = spans.groupBy("file", "chunk").agg(F.array_sort(F.collect_list("l")).alias("ls")).withColumn(
-        "own", F.filter("ls", lambda x: F.floor(x["line_no"] / CHUNK) == F.col("chunk")))
-    ends = chunks.filter(F.size("own") > 0).select("file", "chunk", _exits(F.col("own"), min_fields).alias("exits"))
+    chunks = cut(spans.groupBy("file", "chunk").agg(F.array_sort(F.collect_list("l")).alias("ls")))
+    own = chunks.select("file", "chunk", F.transform(F.filter(
+        "ls", lambda x: F.floor(x["line_no"] / CHUNK) == F.col("chunk")),
+        lambda x: F.struct(x["s"].alias("s"), F.size(x["f"]).alias("n"))).alias("own"))
+    ends = cut(own.filter(F.size("own") > 0).select("file", "chunk", _exits("own", min_fields).alias("exits")))
     entered = chunks.join(_entries(ends), ["file", "chunk"], "left")
     return entered.select(
         "file", "chunk", F.explode(_records(F.col("ls"), F.coalesce("entry", F.lit(0)), min_fields)).alias("r")
@@ -101,12 +103,11 @@ def _exits(own, min_fields: int):
     any record) have to be followed.
     """
     settled = F.array_max(F.transform(own, lambda x, i: F.when(
-        x["s"] | (F.size(x["f"]) >= min_fields), i + 1).otherwise(F.lit(1))))
+        x["s"] | (x["n"] >= min_fields), i + 1).otherwise(F.lit(1))))
 
     def step(acc, x):
-        n = F.size(x["f"])
-        return F.transform(acc, lambda a: F.when(F.when(x["s"], n).otherwise(a + n) >= min_fields, F.lit(0))
-                           .otherwise(F.when(x["s"], n).otherwise(a + n)))
+        return F.transform(F.transform(acc, lambda a: F.when(x["s"], x["n"]).otherwise(a + x["n"])),
+                           lambda n: F.when(n >= min_fields, F.lit(0)).otherwise(n))
 
     tail = F.slice(own, settled, F.size(own))
     return F.aggregate(tail, F.sequence(F.lit(0), F.lit(min_fields - 1)), step)

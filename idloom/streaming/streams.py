@@ -41,19 +41,25 @@ def latest_state(written: DataFrame, key: str = "pcode", order: tuple[str, ...]
     return delta_latest(written.drop("batch"), key, order)
 
 
+def _timed(stream: DataFrame, time: str, delay: str) -> DataFrame:
+    """Watermark on ``time``; event time needs a zone, which is UTC throughout."""
+    return stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay)
+
+
 def stream_dedup(stream: DataFrame, sink: str, checkpoint: str, keys: list[str], time: str = "change_time",
                  delay: str = "1 hour") -> StreamingQuery:
     """Drop changes that are delivered again within ``delay`` of event time."""
-    once = stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
-    return (once.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
+    once = _timed(stream, time, delay).dropDuplicatesWithinWatermark(keys)
+    return (once.withColumn(time, F.col(time).cast("timestamp_ntz")).writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
 def stream_activity_window(stream: DataFrame, sink: str, checkpoint: str, size: str = "1 hour",
                            delay: str = "10 minutes") -> StreamingQuery:
     """Audit rows per source and tumbling window; a window appears once it is complete."""
-    counts = (stream.withWatermark("match_time", delay)
+    counts = (_timed(stream, "match_time", delay)
               .groupBy(F.window("match_time", size).alias("w"), "source").agg(F.count("*").alias("count"))
-              .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "source", "count"))
+              .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+                      F.col("w.end").cast("timestamp_ntz").alias("window_end"), "source", "count"))
     return (counts.writeStream.outputMode("append").format("parquet").option("path", sink)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
