@@ -97,7 +97,7 @@ def similar_ids(requests: DataFrame, ids: DataFrame, k: int = 20) -> DataFrame:
     asked = patterns.select("pattern").distinct()
     lengths = [r[0] for r in asked.filter("pattern <> ''").select(F.length("pattern")).distinct().collect()]
     if not lengths:
-        return patterns.select("hisnumber", "pattern", F.col("hisnumber").alias("similar"), F.lit(1).alias("rank")).limit(0)
+        return patterns.select("hisnumber", "pattern", F.col("hisnumber").alias("similar_id"), F.lit(1).alias("rank")).limit(0)
     parts = F.array_distinct(F.flatten(F.array(*[
         F.when(F.length("id") >= n, F.transform(
             F.sequence(F.lit(1), F.length("id") - (n - 1)), lambda i, n=n: F.substring(F.col("id"), i, F.lit(n))))
@@ -106,7 +106,7 @@ def similar_ids(requests: DataFrame, ids: DataFrame, k: int = 20) -> DataFrame:
     hits = pieces.join(asked, "pattern", "left_semi")
     # the row number filter keeps k rows of a pattern per map task already
     top = hits.withColumn("rank", F.row_number().over(Window.partitionBy("pattern").orderBy("id"))).filter(F.col("rank") <= k)
-    return patterns.join(top, "pattern").select("hisnumber", "pattern", F.col("id").alias("similar"), "rank")
+    return patterns.join(top, "pattern").select("hisnumber", "pattern", F.col("id").alias("similar_id"), "rank")
 
 
 def trace_record(keys: DataFrame, stages: dict[str, DataFrame]) -> DataFrame:

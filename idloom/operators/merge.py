@@ -64,9 +64,9 @@ def merge_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     hung on the least node of their star until nothing moves. It needs about log2 of the longest
     chain rounds; each round is written to the shared folder, so its lineage stays short.
     """
-    nodes = edges.select("uuid", "other_uuid").filter("uuid IS NOT NULL AND other_uuid IS NOT NULL")
+    nodes = cut(edges.select("uuid", "other_uuid").filter("uuid IS NOT NULL AND other_uuid IS NOT NULL"))
     lonely = nodes.filter("uuid = other_uuid").select("uuid", F.col("uuid").alias("component"))
-    e = cut(_distinct_pairs(nodes.filter("uuid <> other_uuid"), "uuid", "other_uuid"))
+    e = _distinct_pairs(nodes.filter("uuid <> other_uuid"), "uuid", "other_uuid")
     mark = _fingerprint(e)
     for _ in range(max_rounds):
         e = cut(_small_star(_large_star(e)))

@@ -94,7 +94,7 @@ def credentials_update(patients: DataFrame, updates: DataFrame) -> DataFrame:
 
 def classify_requests(requests: DataFrame, patients: DataFrame) -> DataFrame:
     """What a check-and-modify request has to do: operation, and the sources it has to be created in."""
-    found = find_by_credentials(requests, patients)
+    found = cut(find_by_credentials(requests, patients))
     numbers = patients.select("uuid", *[F.nullif(F.col(c), F.lit("")).alias(c) for c in ("hisnumber_a", "hisnumber_b")])
     hits = found.filter(F.col("uuid").isNotNull())
     wanted = numbers.join(hits.select("uuid"), "uuid", "left_semi")

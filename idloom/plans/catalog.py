@@ -383,7 +383,7 @@ def mobile_user_by_uuid(fx):
 
 @query
 def find_by_credentials(fx):
-    return J.find_by_credentials(fx.credential_requests, fx.stored("patients_fix")).select("request_id", "uuid", "found_by")
+    return J.find_by_credentials(fx.stored("credential_requests"), fx.stored("patients_fix")).select("request_id", "uuid", "found_by")
 
 
 @query
@@ -462,15 +462,15 @@ def match_rejects(fx):
 
 
 def _changed(fx: Inputs) -> DataFrame:
-    return G.changed_documents(fx.doc_updates, golden(fx))
+    return cut(G.changed_documents(fx.stored("doc_updates"), golden(fx)))
 
 
-def _after(fx: Inputs) -> DataFrame:
-    return G.apply_documents(_changed(fx), golden(fx))
-
-
-def _map(fx: Inputs) -> DataFrame:
-    return cut(G.merge_survivor(G.merge_components(G.merge_pairs(_changed(fx), _after(fx))), golden(fx)))
+def _merge(fx: Inputs) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Changed documents, golden rows with them, and the (loser, survivor) map."""
+    changed = _changed(fx)
+    after = G.apply_documents(changed, golden(fx))
+    pairs = G.merge_survivor(G.merge_components(G.merge_pairs(changed, after)), golden(fx))
+    return changed, after, cut(pairs)
 
 
 @query
@@ -485,34 +485,37 @@ def locked_guard(fx):
 
 @query
 def merge_pairs(fx):
-    return G.merge_pairs(_changed(fx), _after(fx))
+    changed = _changed(fx)
+    return G.merge_pairs(changed, G.apply_documents(changed, golden(fx)))
 
 
 @query
 def merge_survivor(fx):
-    return _map(fx)
+    return _merge(fx)[2]
 
 
 @query
 def merge_fields(fx):
-    return without_times(G.merge_fields(_map(fx), _after(fx)))
+    _, after, pairs = _merge(fx)
+    return without_times(G.merge_fields(pairs, after))
 
 
 @query
 def merge_repoint(fx):
-    return G.merge_repoint(_map(fx), fx.stored("protocols")).select("id", "uuid", "source", "businessunit", "date", "qty")
+    return G.merge_repoint(_merge(fx)[2], fx.stored("protocols")).select("id", "uuid", "source", "businessunit", "date", "qty")
 
 
 @query
 def merge_components(fx):
-    return G.merge_components(fx.merge_requests.select(F.col("source_uuid").alias("uuid"), F.col("target_uuid").alias("other_uuid")))
+    return G.merge_components(fx.stored("merge_requests").select(F.col("source_uuid").alias("uuid"), F.col("target_uuid").alias("other_uuid")))
 
 
 @query
 def merge_log(fx):
-    causes = _changed(fx).filter(F.col("reject_reason").isNull()).join(
+    changed, _, pairs = _merge(fx)
+    causes = changed.filter(F.col("reject_reason").isNull()).join(
         fx.stored("det_fix").select("uuid", "hisnumber", "source"), "uuid").select("uuid", "hisnumber", "source", "document_number")
-    return G.merge_log(_map(fx), causes, AS_OF).select(
+    return G.merge_log(pairs, causes, AS_OF).select(
         "hisnumber", "source", "match_time", "match_type", "document_number", "created_uuid", "matched_patient_uuid",
         F.get_json_object("details", "$.merged_from").alias("merged_from"))
 
@@ -526,19 +529,19 @@ def update_regular(fx):
 @query
 def lock_matching(fx):
     locked = M.lock_matching(golden(fx), fx.lock_requests, True, AS_OF)
-    freed = M.lock_matching(locked, fx.doc_updates.select("uuid"), False, AS_OF)
+    freed = M.lock_matching(locked, fx.stored("doc_updates").select("uuid"), False, AS_OF)
     return freed.select("uuid", "matching_locked", "matching_locked_at", "matching_locked_reason", "updated_at")
 
 
 @query
 def manual_merge(fx):
-    out = G.manual_merge(fx.merge_requests, golden(fx), det(fx), fx.stored("protocols"), AS_OF)
+    out = G.manual_merge(fx.stored("merge_requests"), golden(fx), det(fx), fx.stored("protocols"), AS_OF)
     return without_times(out["patients"])
 
 
 @query
 def manual_merge_log(fx):
-    out = G.manual_merge(fx.merge_requests, golden(fx), det(fx), fx.stored("protocols"), AS_OF)
+    out = G.manual_merge(fx.stored("merge_requests"), golden(fx), det(fx), fx.stored("protocols"), AS_OF)
     return out["log"].select("hisnumber", "source", "match_type", "document_number", "created_uuid")
 
 
@@ -551,7 +554,7 @@ def touch_updated_at(fx):
 
 @query
 def mobile_register(fx):
-    accepted, rejects = R.mobile_register(fx.registrations, fx.stored("mobile_app_users"))
+    accepted, rejects = R.mobile_register(fx.stored("registrations"), fx.stored("mobile_app_users"))
     return accepted.select("request_id", "hisnumber_a", "hisnumber_b", "uuid", F.lit(None).cast("string").alias("reject_reason")).unionByName(
         rejects.select("request_id", "hisnumber_a", "hisnumber_b", F.lit(None).cast("string").alias("uuid"), "reject_reason"))
 
@@ -568,7 +571,7 @@ def credentials_update(fx):
 
 @query
 def classify_requests(fx):
-    return R.classify_requests(fx.credential_requests, fx.stored("patients_fix"))
+    return R.classify_requests(fx.stored("credential_requests"), fx.stored("patients_fix"))
 
 
 # ---- statistics ----------------------------------------------------------------------------
@@ -662,7 +665,8 @@ def match_log_delta(fx):
 
 @query
 def merged_count(fx):
-    return A.merged_count(fx.stored("patients_fix"), G.merge_patients(_map(fx), _after(fx)))
+    _, after, pairs = _merge(fx)
+    return A.merged_count(fx.stored("patients_fix"), G.merge_patients(pairs, after))
 
 
 @query
@@ -707,7 +711,7 @@ def check_foreign_keys(fx):
     rows = fx.bad_records.select("hisnumber", "source", "businessunit", F.col("documenttypes").try_cast("int").alias("documenttypes"),
                                  F.lit(None).cast("string").alias("uuid")).unionByName(
         fx.stored("det_fix").select("hisnumber", "source", "businessunit", "documenttypes", "uuid")).unionByName(
-        fx.merge_requests.select(F.lit("R").alias("hisnumber"), F.lit(1).alias("source"), F.lit(1).alias("businessunit"),
+        fx.stored("merge_requests").select(F.lit("R").alias("hisnumber"), F.lit(1).alias("source"), F.lit(1).alias("businessunit"),
                                  F.lit(1).alias("documenttypes"), F.col("source_uuid").alias("uuid")))
     return Q.check_foreign_keys(rows, _dims(fx), fx.stored("patients_fix"))
 
