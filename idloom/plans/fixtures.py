@@ -165,6 +165,7 @@ def with_clause(names: list[str]) -> str:
     return ",\n".join(f"{v} AS ({VIEWS[v].format(**plain)})" for v in closure(names))
 
 
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
 _STORED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 
@@ -175,7 +176,13 @@ class Inputs:
         self.spark, self.sf_dir, self.streams = tune(spark), sf_dir, streams
 
     def table(self, name: str) -> DataFrame:
-        return self.streams.get(name) or self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name in self.streams:
+            return self.streams[name]
+        path = f"{self.sf_dir}/{name}.parquet"
+        key = (self.spark.sparkContext.applicationId, path)
+        if key not in _SCHEMAS:
+            _SCHEMAS[key] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[key]).parquet(path)
 
     def stored(self, view: str) -> DataFrame:
         """The view as a stored table, the form in which the operators meet these inputs in use; written

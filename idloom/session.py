@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_local_dirs: dict[str, str] = {}
 _DEBUGGING = "spark.python.sql.dataFrameDebugging.enabled"
 
 
@@ -39,8 +40,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not path:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"{CHECKPOINT_DIR} must name a shared folder")
-        path = tempfile.mkdtemp(prefix="idloom-")
-        spark.conf.set(CHECKPOINT_DIR, path)
+        path = _local_dirs.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="idloom-")
+        _local_dirs[spark.sparkContext.applicationId] = path
     return path
 
 
