@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from idloom.functions.normalize import iso_date
@@ -87,6 +87,13 @@ def find_by_credentials(requests: DataFrame, patients: DataFrame) -> DataFrame:
                         F.when(F.col("by_login").isNotNull(), "LOGIN").when(F.col("by_name").isNotNull(), "PERSONAL").alias("found_by"))
 
 
+def _substrings(text: Column, n: int) -> Column:
+    """All substrings of length ``n``."""
+    starts = F.sequence(F.lit(1), F.length(text) - (n - 1))
+    return F.when(F.length(text) >= n, F.transform(starts, lambda i: F.substring(text, i, F.lit(n)))).otherwise(
+        F.array().cast("array<string>"))
+
+
 def similar_ids(requests: DataFrame, ids: DataFrame, k: int = 20) -> DataFrame:
     """Ids that contain the part before '/' of a requested id, the first ``k`` of each request.
 
@@ -98,10 +105,7 @@ def similar_ids(requests: DataFrame, ids: DataFrame, k: int = 20) -> DataFrame:
     lengths = [r[0] for r in asked.filter("pattern <> ''").select(F.length("pattern")).distinct().collect()]
     if not lengths:
         return patterns.select("hisnumber", "pattern", F.col("hisnumber").alias("similar_id"), F.lit(1).alias("rank")).limit(0)
-    parts = F.array_distinct(F.flatten(F.array(*[
-        F.when(F.length("id") >= n, F.transform(
-            F.sequence(F.lit(1), F.length("id") - (n - 1)), lambda i, n=n: F.substring(F.col("id"), i, F.lit(n))))
-        .otherwise(F.array().cast("array<string>")) for n in sorted(lengths)])))
+    parts = F.array_distinct(F.flatten(F.array(*[_substrings(F.col("id"), n) for n in sorted(lengths)])))
     pieces = ids.select(F.col("hisnumber").alias("id")).distinct().select("id", F.explode(parts).alias("pattern"))
     hits = pieces.join(asked, "pattern", "left_semi")
     # the row number filter keeps k rows of a pattern per map task already

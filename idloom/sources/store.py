@@ -7,7 +7,7 @@ import json
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from idloom import schemas
 from idloom.schemas import RECORD_COLUMNS
@@ -61,7 +61,7 @@ class Store:
         if name not in folders:
             return schemas.empty(self.spark, schema)
         if name in LOG_TABLES:
-            return self.spark.read.schema(StructType(schema.fields).add("version", "long")).parquet(
+            return self.spark.read.schema(StructType([*schema.fields, StructField("version", LongType())])).parquet(
                 f"{self.path}/{name}").filter(F.col("version") <= head[0]["version"]).drop("version")
         return self.spark.read.schema(schema).parquet(folders[name])
 
