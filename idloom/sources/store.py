@@ -83,8 +83,9 @@ class Store:
 
 
 def split_known(batch: DataFrame, det: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Batch rows whose key is stored already, and the others."""
-    keys = det.select(*KEY)
+    """Batch rows whose key is stored already, and the others. The stored keys are reduced to those of
+    the batch first, so a small batch only scans them."""
+    keys = det.select(*KEY).join(batch.select(*KEY), KEY, "left_semi")
     return batch.join(keys, KEY, "left_semi"), batch.join(keys, KEY, "left_anti")
 
 
@@ -97,17 +98,16 @@ def sink_insert_det(det: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFr
 
 def insert_if_absent(det: DataFrame, batch: DataFrame) -> DataFrame:
     """Rows an initial load has to add; known keys are skipped and count as done."""
-    return batch.join(det.select(*KEY), KEY, "left_anti").select(*batch.columns)
+    return split_known(batch, det)[1].select(*batch.columns)
 
 
 def sink_upsert_det(det: DataFrame, batch: DataFrame) -> DataFrame:
-    """Insert or overwrite by key; the golden link of a known row is kept."""
-    rows = [c for c in RECORD_COLUMNS if c not in KEY]
-    new = schemas.fit(batch, schemas.RECORD).select(*KEY, F.struct(*rows).alias("_new"))
-    old = schemas.fit(det, schemas.DET).select(*KEY, F.struct(*rows).alias("_old"), "uuid")
-    return old.join(new, KEY, "full_outer").select(
-        *[F.col(c) if c in KEY else F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}"))
-          .otherwise(F.col(f"_old.{c}")).alias(c) for c in RECORD_COLUMNS], "uuid")
+    """Insert or overwrite by key (unique in the batch); the golden link of a known row is kept. Rows the
+    batch does not touch pass through, without a shuffle when the batch is small."""
+    new, old = schemas.fit(batch, schemas.RECORD), schemas.fit(det, schemas.DET)
+    links = old.select(*KEY, "uuid").join(new.select(*KEY), KEY, "left_semi")
+    return old.join(new.select(*KEY), KEY, "left_anti").select(*RECORD_COLUMNS, "uuid").unionByName(
+        new.join(links, KEY, "left").select(*RECORD_COLUMNS, "uuid"))
 
 
 def soft_delete(batch: DataFrame, tombstones: bool = False) -> DataFrame:

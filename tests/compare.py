@@ -32,6 +32,11 @@ def rows(columns: list[str], data) -> tuple[list[str], list[tuple]]:
     return [columns[i] for i in order], sorted(tuple(_plain(r[i]) for i in order) for r in data)
 
 
+# Spark type -> DuckDB type
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+         "boolean": "BOOLEAN", "double": "DOUBLE"}
+
+
 def difference(df, con, sql: str) -> str | None:
     """None if both agree, else what differs."""
     cols, got = rows(df.columns, [tuple(r) for r in df.collect()])
@@ -39,6 +44,10 @@ def difference(df, con, sql: str) -> str | None:
     cols2, want = rows([d[0] for d in cur.description], cur.fetchall())
     if cols != cols2:
         return f"columns {cols} vs {cols2}"
+    types = {d[0]: str(d[1]) for d in con.execute(f"DESCRIBE {sql}").fetchall()}
+    wrong = {c: (t, types[c]) for c, t in df.dtypes if TYPES[t] != types[c]}
+    if wrong:
+        return f"types {wrong}"
     if len(got) != len(want):
         return f"rows {len(got)} vs {len(want)}: {[r for r in got if r not in want][:2]} / {[r for r in want if r not in got][:2]}"
     if got != want:
