@@ -277,6 +277,7 @@ def merge_targets(requests: DataFrame, patients: DataFrame, max_rounds: int = 60
     exists = lookup(there, known.select(F.col("uuid").alias("target_uuid"), F.lit(True).alias("_k")), ["target_uuid"]
                     ).filter(F.col("_k") & (F.col("source_uuid") != F.col("target_uuid")))
     steps = cut(exists.groupBy("source_uuid").agg(F.min("target_uuid").alias("target_uuid")))
+    n_steps = steps.count()
     reach = steps.select("source_uuid", F.col("target_uuid").alias("end"), F.lit(1).cast("long").alias("depth"))
     for _ in range(max_rounds):
         hop = reach.select(F.col("source_uuid").alias("end"), F.col("end").alias("_end"), F.col("depth").alias("_depth"))
@@ -286,7 +287,7 @@ def merge_targets(requests: DataFrame, patients: DataFrame, max_rounds: int = 60
         if state["n"] == 0:
             break
         # a path longer than the number of requests has gone round in a circle
-        if state["least"] > steps.count():
+        if state["least"] > n_steps:
             break
         reach = cut(moved.select("source_uuid", F.coalesce("_end", "end").alias("end"),
                                  (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth")))
