@@ -13,13 +13,10 @@ to the shared folder and go to the executors as files, where tasks map them into
 
 from __future__ import annotations
 
-import base64
 import heapq
-import io
 import json
 import re
 import unicodedata
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,12 +27,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from idloom.llm.tables import slices
-from idloom.session import scratch
+from idloom.session import cut, scratch
 
 #: words longer than this are never in a lexicon and are merged one by one
 LONG_WORD = 64
 #: words whose ids a task remembers besides the lexicon
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _SPLITS_ELSEWHERE = re.compile(f"[{_SPACE}] [{_SPACE}]|[{_SPACE}] \\Z")
@@ -394,7 +391,7 @@ class Encoder:
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """(word, n) over all texts: counted batch by batch in the tasks, summed by Spark."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "_text", 16 << 20):
+        for part in slices(batches, "_text", 8 << 20):
             words = pc.split_pattern(part.column("_text").drop_null(), " ").flatten()
             got = words.value_counts()
             yield pa.RecordBatch.from_arrays(
@@ -404,18 +401,30 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent(counts: DataFrame, size: int) -> list[str]:
+    """The most frequent words of (word, n), at most ``size`` and each at least twice; words of one count class go together.
+
+    A histogram of the counts says where to cut, so only these words come to the driver.
+    """
+    known = cut(counts.filter((F.octet_length("word") <= LONG_WORD) & (F.col("n") > 1)))
+    grade = F.when(F.col("n") < 1000, F.col("n")).otherwise(1000 + F.floor(F.log(F.col("n") / 1000) / F.log(F.lit(1.01)))).cast("long")
+    least, total = None, 0
+    for r in known.groupBy(grade.alias("grade")).agg(F.count("*").alias("words")).orderBy(F.desc("grade")).collect():
+        total += r["words"]
+        if total > size:
+            break
+        least = r["grade"]
+    return [] if least is None else [r["word"] for r in known.filter(grade >= least).select("word").collect()]
+
+
 def lexicon(docs: DataFrame, path: str, size: int = 32768, text: str = "text") -> str:
-    """Compile the ``size`` most frequent words of all documents; returns the name under which tasks find the file.
+    """Compile the most frequent words of all documents, ``size`` at most and of ``LONG_WORD`` bytes at most.
 
-    Only these words, a fixed number of at most ``LONG_WORD`` bytes each, come to the driver.
+    Returns the name under which tasks find the file.
     """
-    spark = docs.sparkSession
-    top = (word_counts(docs, text).filter(F.octet_length("word") <= LONG_WORD)
-           .orderBy(F.desc("n"), "word").limit(size).select("word").collect())
-    words = [r["word"] for r in top]
-    encoder = Encoder(path)
-    arrays = compile_lexicon([w.encode() for w in words], encoder._words(words))
-    return publish(spark, Lexicon.dump(arrays), "lexicon")
+    words = frequent(word_counts(docs, text), size)
+    arrays = compile_lexicon([w.encode() for w in words], Encoder(path)._words(words))
+    return publish(docs.sparkSession, Lexicon.dump(arrays), "lexicon")
 
 
 def publish(spark: SparkSession, content: bytes, name: str) -> str:

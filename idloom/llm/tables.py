@@ -39,12 +39,34 @@ def annotate(df: DataFrame, text: str, columns: str, work: Callable, keep: list[
     """
     added = [c.split()[0] for c in columns.split(", ")]
     kept = [c for c in keep if c not in added]
-    source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias("_text"))
+    source = df.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(kept)],
+                       F.col(f"`{text}`").cast("string").alias("_text"))
 
     def run(batches):
         for part in slices(batches, "_text"):
             yield pa.RecordBatch.from_arrays(
-                [part.column(c) for c in kept] + list(work(part.column("_text"))), names=kept + added)
+                [part.column(i) for i in range(len(kept))] + list(work(part.column("_text"))), names=kept + added)
 
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name != "_text"] + [columns])
+    schema = ", ".join([f"`{c}` {f.dataType.simpleString()}" for c, f in zip(kept, source.schema)] + [columns])
     return source.mapInArrow(run, schema)
+
+
+def retain(df: DataFrame, text: str, test: Callable[[pa.Array], np.ndarray]) -> DataFrame:
+    """The rows of ``df``, columns unchanged, whose text passes ``test`` (string array in, booleans out)."""
+    def run(batches):
+        for part in slices(batches, text):
+            yield part.filter(pa.array(test(part.column(text)), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
+def hashed_sample(df: DataFrame, key: list[Column], n: int) -> DataFrame:
+    """The ``n`` rows (all, if there are fewer) of least hash of ``key``: the same ones wherever they lie.
+
+    Rows whose hash is far above the n-th least are filtered out in the scan, so that tasks do not each send ``n`` rows.
+    """
+    total = df.count()
+    share = min(1.0, 2 * n / max(1, total) + 50 / max(1, total))
+    h = F.xxhash64(*key)
+    few = df if share == 1.0 else df.filter(h < F.lit(int(-(2 ** 63) + share * 2.0 ** 64)))
+    return few.orderBy(h, *key).limit(n)
