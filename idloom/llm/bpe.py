@@ -119,26 +119,30 @@ class Vocabulary:
                     heapq.heappush(heap, (r, x, ids[x], ids[y]))
         return np.array([i for i in ids if i >= 0], np.uint32)
 
-    def merge(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """Ids of many pre-tokens: in every round each one merges its leftmost pair of least rank."""
-        out: list[np.ndarray] = [np.empty(0, np.uint32)] * len(pieces)
-        sizes = np.array([len(p) for p in pieces])
-        none = len(self.merged)
+    def merge(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of many pre-tokens: all ids, where each one's start, how many there are.
+
+        In every round each pre-token merges its leftmost pair of least rank.
+        """
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        start, count = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        flat, done, none = [np.empty(0, np.uint32)], 0, len(self.merged)
         for i in np.flatnonzero(sizes > LONG_WORD):
-            out[i] = self.merge_long(pieces[i])
-        for low, high in ((0, 6), (6, 12), (12, 24), (24, LONG_WORD)):
-            which = np.flatnonzero((sizes > low) & (sizes <= high))
+            flat.append(self.merge_long(pieces[i]))
+            start[i], count[i] = done, len(flat[-1])
+            done += len(flat[-1])
+        for low, width in ((0, 6), (6, 9), (9, 12), (12, 16), (16, 24), (24, LONG_WORD)):
+            which = np.flatnonzero((sizes > low) & (sizes <= width))
             for block in np.array_split(which, len(which) // 20_000 + 1):
                 if not len(block):
                     continue
-                width = high
-                raw = np.frombuffer(b"".join(pieces[i].ljust(width, b"\0") for i in block), np.uint8)
-                ids = self.of_byte[raw.reshape(-1, width)]
                 n = sizes[block].copy()
-                ids[np.arange(width) >= n[:, None]] = -1
+                inside = np.arange(width) < n[:, None]
+                ids = np.full((len(block), width), -1)
+                ids[inside] = self.of_byte[np.frombuffer(b"".join([pieces[i] for i in block.tolist()]), np.uint8)]
                 rank = np.full((len(block), width), none)
-                inside = np.arange(width - 1) < n[:, None] - 1
-                rank[:, :-1][inside] = self.ranks(ids[:, :-1][inside], ids[:, 1:][inside])
+                pair = inside[:, 1:]
+                rank[:, :-1][pair] = self.ranks(ids[:, :-1][pair], ids[:, 1:][pair])
                 rows = np.arange(len(block))
                 while len(rows):
                     at = rank[rows].argmin(1)
@@ -148,19 +152,22 @@ class Vocabulary:
                     if not len(rows):
                         break
                     ids[rows, at] = self.merged[best]
-                    for table, fill in ((ids, -1), (rank, none)):  # drop the right half of the pair
+                    right = np.arange(width - 1) > at[:, None]  # drop the right half of the pair
+                    for table, fill in ((ids, -1), (rank, none)):
                         own = table[rows]
-                        moved = np.concatenate([own[:, 1:], np.full((len(rows), 1), fill)], 1)
-                        table[rows] = np.where(np.arange(width) > at[:, None], moved, own)
+                        own[:, :-1] = np.where(right, own[:, 1:], own[:, :-1])
+                        own[:, -1] = fill
+                        table[rows] = own
                     n[rows] -= 1
                     for p in (at - 1, at):
                         ok = (p >= 0) & (p + 1 < n[rows])
                         rank[rows[ok], p[ok]] = self.ranks(ids[rows[ok], p[ok]], ids[rows[ok], p[ok] + 1])
                         end = (p >= 0) & ~ok
                         rank[rows[end], p[end]] = none
-                for i, row, k in zip(block, ids.astype(np.uint32), n):
-                    out[i] = row[:k]
-        return out
+                flat.append(ids[np.arange(width) < n[:, None]].astype(np.uint32))
+                start[block], count[block] = done + np.cumsum(n) - n, n
+                done += len(flat[-1])
+        return np.concatenate(flat), start, count
 
     def decode(self, ids: np.ndarray) -> bytes:
         """Bytes of the ids; what is no UTF-8 comes out as replacement characters."""
@@ -293,26 +300,35 @@ class Encoder:
 
     def _reset(self) -> None:
         self.known: dict[str, int] = {}
-        self.parts: list[np.ndarray] = []
+        self.flat, self.start, self.size = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
 
-    def _words(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of distinct words that are not in the lexicon."""
+    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct words without the lexicon: all ids known so far, where each word's start, how many there are."""
         if len(self.known) > CACHE_WORDS:
             self._reset()
-        known, parts, pieces = self.known, self.parts, {}
+        known, pieces = self.known, {}
         new = [w for w in words if w not in known]
-        cut, split = [], pattern().findall
+        split, put, at, parts = pattern().findall, pieces.setdefault, [], []
         for w in new:
-            own = split(w)
-            cut.append(own)
-            for p in own:
-                pieces.setdefault(p, len(pieces))
-        merged = self.vocabulary.merge([p.encode() for p in pieces])
-        for w, own in zip(new, cut):
-            known[w] = len(parts)
-            parts.append(merged[pieces[own[0]]] if len(own) == 1 else np.concatenate(
-                [np.empty(0, np.uint32), *(merged[pieces[p]] for p in own)]))
-        return [parts[known[w]] for w in words]
+            if w[1:].isalpha() and (w[0] == " " or w[0].isalpha()):  # one pre-token
+                at.append(put(w, len(pieces)))
+                parts.append(1)
+            else:
+                own = split(w)
+                at += [put(p, len(pieces)) for p in own]
+                parts.append(len(own))
+        if new:
+            ids, start, size = self.vocabulary.merge([p.encode() for p in pieces])
+            at = np.array(at, np.int64)
+            ends = np.cumsum(parts)
+            tokens = np.r_[0, np.cumsum(size[at])]
+            total = tokens[ends] - tokens[ends - parts]
+            known.update(zip(new, range(len(self.start), len(self.start) + len(new))))
+            self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(total) - total])
+            self.size = np.concatenate([self.size, total])
+            self.flat = np.concatenate([self.flat, ids[_spans(start[at], size[at])]])
+        which = np.array([known[w] for w in words], np.int64)
+        return self.flat, self.start[which], self.size[which]
 
     def _distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of distinct words: all ids, where each word's ids start, how many there are."""
@@ -320,19 +336,14 @@ class Encoder:
         start, size = np.zeros(n, np.int64), np.zeros(n, np.int64)
         rank = self.lexicon.find(words) if self.lexicon else np.full(n, -1)
         hit, miss = np.flatnonzero(rank >= 0), np.flatnonzero(rank < 0)
-        flat = [np.empty(0, np.uint32)]
-        if len(hit):
-            own = rank[hit]
-            first = np.asarray(self.lexicon.at[own])
-            size[hit] = self.lexicon.at[own + 1] - first
-            flat.append(np.asarray(self.lexicon.ids[_spans(first, size[hit])]).astype(np.uint32))
-        if len(miss):
-            found = self._words(words.take(pa.array(miss)).to_pylist())
-            size[miss] = [len(x) for x in found]
-            flat += found
-        order = np.concatenate([hit, miss])
-        start[order] = np.cumsum(size[order]) - size[order]
-        return np.concatenate(flat), start, size
+        flat, start[miss], size[miss] = self.words(words.take(pa.array(miss)).to_pylist())
+        if not len(hit):
+            return flat, start, size
+        first = np.asarray(self.lexicon.at[rank[hit]])
+        size[hit] = self.lexicon.at[rank[hit] + 1] - first
+        own = np.asarray(self.lexicon.ids[_spans(first, size[hit])]).astype(np.uint32)
+        start[hit] = len(flat) + np.cumsum(size[hit]) - size[hit]
+        return np.concatenate([flat, own]), start, size
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids (unsigned 32 bit) of all texts one after the other, and the n + 1 offsets between them; null is empty."""
@@ -377,14 +388,13 @@ class Encoder:
             if part in self.vocabulary.special:
                 out.append(np.array([self.vocabulary.special[part]], np.uint32))
             elif part:
-                out += self._pieces(pattern().findall(part))
+                pieces = pattern().findall(part)
+                distinct = {p: i for i, p in enumerate(dict.fromkeys(pieces))}
+                ids, start, size = self.vocabulary.merge([p.encode() for p in distinct])
+                at = np.array([distinct[p] for p in pieces], np.int64)
+                out.append(ids[_spans(start[at], size[at])])
         return np.concatenate(out)
 
-    def _pieces(self, pieces: list[str]) -> list[np.ndarray]:
-        distinct = list(dict.fromkeys(pieces))
-        ids = dict(zip(distinct, self.vocabulary.merge([p.encode() for p in distinct])))
-        return [ids[p] for p in pieces]
-
 
 # ---- on Spark ------------------------------------------------------------------------------------
 
@@ -423,7 +433,8 @@ def lexicon(docs: DataFrame, path: str, size: int = 32768, text: str = "text") -
     Returns the name under which tasks find the file.
     """
     words = frequent(word_counts(docs, text), size)
-    arrays = compile_lexicon([w.encode() for w in words], Encoder(path)._words(words))
+    ids, start, size = Encoder(path).words(words)
+    arrays = compile_lexicon([w.encode() for w in words], [ids[a:a + n] for a, n in zip(start, size)])
     return publish(docs.sparkSession, Lexicon.dump(arrays), "lexicon")
 
 

@@ -78,7 +78,8 @@ def test_lexicon_does_not_change_ids(path, library, tmp_path):
     coder = bpe.Encoder(path)
     words = [" a", " word", " and"]
     file = tmp_path / "lexicon"
-    file.write_bytes(bpe.Lexicon.dump(bpe.compile_lexicon([w.encode() for w in words], coder._words(words))))
+    flat, start, size = coder.words(words)
+    file.write_bytes(bpe.Lexicon.dump(bpe.compile_lexicon([w.encode() for w in words], [flat[a:a + n] for a, n in zip(start, size)])))
     ids, at = bpe.Encoder(path, str(file)).encode(pa.array(texts))
     assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == want(library, texts)
 
