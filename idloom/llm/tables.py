@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +24,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
     for batch in batches:
         if not batch.num_rows:
             continue
-        lengths = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+        lengths = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
         block = np.cumsum(lengths) // limit
         starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
         for a, b in zip(starts, np.r_[starts[1:], len(block)]):
@@ -60,13 +61,13 @@ def retain(df: DataFrame, text: str, test: Callable[[pa.Array], np.ndarray]) ->
     return df.mapInArrow(run, df.schema)
 
 
-def hashed_sample(df: DataFrame, key: list[Column], n: int) -> DataFrame:
+def hashed_sample(df: DataFrame, key: list[str], n: int, seed: int = 0) -> DataFrame:
     """The ``n`` rows (all, if there are fewer) of least hash of ``key``: the same ones wherever they lie.
 
     Rows whose hash is far above the n-th least are filtered out in the scan, so that tasks do not each send ``n`` rows.
     """
     total = df.count()
     share = min(1.0, 2 * n / max(1, total) + 50 / max(1, total))
-    h = F.xxhash64(*key)
+    h = F.xxhash64(*key, F.lit(seed))
     few = df if share == 1.0 else df.filter(h < F.lit(int(-(2 ** 63) + share * 2.0 ** 64)))
     return few.orderBy(h, *key).limit(n)

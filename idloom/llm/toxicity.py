@@ -122,7 +122,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str, doc_id: str = "doc_id"
     all labels that are not null. Repeated ids count once.
     """
     def chosen(ids: DataFrame, seed: int, n: int) -> DataFrame:
-        return hashed_sample(ids.filter("_id IS NOT NULL").distinct(), [F.col("_id"), F.lit(seed)], n)
+        return hashed_sample(ids.filter("_id IS NOT NULL").distinct(), ["_id"], n, seed)
 
     known = labels.select(labels[doc_id].alias("_id"), labels[label].alias("_y"))
     prior = known.agg(F.avg("_y")).first()[0]

@@ -69,8 +69,8 @@ def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]]
             F.sum("n").alias("c_n"), F.sum("good").alias("c_good"))
         nodes = children.groupBy("host", "template").agg(
             F.sum("c_n").alias("s_n"), F.sum("c_good").alias("s_good"), F.count("*").alias("width"))
-        p = F.col("s_good") / F.col("s_n")
-        off = F.abs(F.col("c_good") - F.col("c_n") * p) / F.sqrt(F.col("c_n") * p * (1 - p))
+        p = F.try_divide("s_good", "s_n")
+        off = F.try_divide(F.abs(F.col("c_good") - F.col("c_n") * p), F.sqrt(F.col("c_n") * p * (1 - p)))
         named = children.join(nodes, ["host", "template"]).select(
             "host", "template", "child",
             F.when((F.col("c_n") > 0) & (p > 0) & (p < 1) & (F.col("c_n") < F.col("s_n")) & (off > apart), F.col("child"))

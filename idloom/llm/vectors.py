@@ -34,7 +34,7 @@ def matrix(column: pa.Array | pa.ChunkedArray, size: int) -> np.ndarray:
 
 def sample(df: DataFrame, vector: str, size: int, rows: int) -> np.ndarray:
     """At most ``rows`` vectors, chosen by a hash of their components."""
-    some = hashed_sample(df.select(vector), [F.col(vector)], rows).toArrow()
+    some = hashed_sample(df.select(vector), [vector], rows).toArrow()
     return matrix(some[vector], size) if some.num_rows else np.empty((0, size))
 
 
