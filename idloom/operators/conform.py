@@ -27,14 +27,18 @@ def conform_a(raw: DataFrame) -> DataFrame:
 
 
 def conform_b(raw: DataFrame) -> DataFrame:
-    """Source B records (as scanned) conformed."""
+    """Source B records (as scanned) conformed. Birth dates that come as text may be D.M.Y or Y-M-D, padded or not."""
     number = F.col("document_number")
+    born, bad_date = F.col("birthdate"), F.lit(False)
+    if dict(raw.dtypes)["birthdate"] == "string":
+        text = F.trim(N.norm_date_dmy(F.trim("birthdate")))
+        born, bad_date = N.iso_date(text), F.coalesce(text != "", F.lit(False)) & N.iso_date(text).isNull()
     return raw.select(
         F.col("hisnumber").cast("string").alias("hisnumber"), "source", "businessunit", "lastname", "name", "surname",
-        "birthdate", N.map_doc_type_b(F.col("documenttypes")).alias("documenttypes"),
+        born.alias("birthdate"), N.map_doc_type_b(F.col("documenttypes")).alias("documenttypes"),
         N.norm_doc_number(number).alias("document_number"),
         "email", "telephone", "his_password", "login_email",
-        F.when(N.doc_number_overflow(number), "DOCUMENT_RANGE").alias("reject_reason"))
+        F.when(bad_date, "BAD_DATE").when(N.doc_number_overflow(number), "DOCUMENT_RANGE").alias("reject_reason"))
 
 
 def validated(df: DataFrame) -> DataFrame:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from idloom.functions.normalize import iso_date
 from idloom.operators.matching import mobile_user_lookup  # noqa: F401  (part of this surface)
-from idloom.operators.skew import attach_by, lookup
+from idloom.operators.skew import attach_by
+from idloom.session import cut
 
 
 def det_with_golden(det: DataFrame, patients: DataFrame) -> DataFrame:
@@ -40,21 +41,25 @@ def _named(df: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     return df.join(F.broadcast(src), "source").join(F.broadcast(unit), "businessunit")
 
 
-def patient_protocols(protocols: DataFrame, dims: dict[str, DataFrame], uuids: list[str] | None = None) -> DataFrame:
-    """Protocols with names, the latest of a person first; of all persons or of the given ones."""
-    rows = protocols if uuids is None else protocols.filter(F.col("uuid").isin(uuids))
-    return _named(rows, dims).select(
+def patient_protocols(protocols: DataFrame, dims: dict[str, DataFrame], uuids: DataFrame | None = None) -> DataFrame:
+    """Protocols with names: of all persons in no order, or of the persons in the table ``uuids``, the latest
+    of a person first and the lesser id first within a day."""
+    rows = protocols if uuids is None else protocols.join(uuids.select("uuid").distinct(), "uuid", "left_semi")
+    out = _named(rows, dims).select(
         "id", "uuid", "source", "source_name", "businessunit", "businessunit_name", "date", "doctor",
-        "protocolname", "servicename", "servicecode").orderBy("uuid", F.col("date").desc())
+        "protocolname", "servicename", "servicecode")
+    return out if uuids is None else out.orderBy("uuid", F.col("date").desc(), "id")
 
 
-def patient_raw_records(det: DataFrame, dims: dict[str, DataFrame], uuids: list[str] | None = None) -> DataFrame:
-    """Stored records with names, in the order source, number of a person."""
-    rows = det if uuids is None else det.filter(F.col("uuid").isin(uuids))
+def patient_raw_records(det: DataFrame, dims: dict[str, DataFrame], uuids: DataFrame | None = None) -> DataFrame:
+    """Stored records with names: of all persons in no order, or of the persons in the table ``uuids`` in the
+    order source, number of a person."""
+    rows = det if uuids is None else det.join(uuids.select("uuid").distinct(), "uuid", "left_semi")
     cols = [c for c in ("email", "telephone") if c in det.columns]
-    return _named(rows, dims).select(
+    out = _named(rows, dims).select(
         "uuid", "hisnumber", "source", "source_name", "businessunit", "businessunit_name", "lastname", "name",
-        "surname", "birthdate", "documenttypes", "document_number", *cols).orderBy("uuid", "source", "hisnumber")
+        "surname", "birthdate", "documenttypes", "document_number", *cols)
+    return out if uuids is None else out.orderBy("uuid", "source", "hisnumber")
 
 
 def mobile_user_by_uuid(uuids: DataFrame, mobile: DataFrame) -> DataFrame:
@@ -71,43 +76,46 @@ def find_by_credentials(requests: DataFrame, patients: DataFrame) -> DataFrame:
         F.struct(F.col("login_a").alias("cllogin"), F.col("password_a").alias("clpassword")),
         F.struct(F.col("login_b").alias("cllogin"), F.col("password_b").alias("clpassword")))).alias("l"), "uuid").select(
         "l.cllogin", "l.clpassword", "uuid").dropna(subset=["cllogin", "clpassword"])
-    by_login = logins.join(requests.select("cllogin", "clpassword"), ["cllogin", "clpassword"], "left_semi").groupBy(
-        "cllogin", "clpassword").agg(F.min("uuid").alias("by_login"))
-    asked = lookup(requests, by_login, ["cllogin", "clpassword"]).withColumns({
+    on = ["cllogin", "clpassword"]
+    by_login = logins.join(requests.select(*on), on, "left_semi").groupBy(*on).agg(F.min("uuid").alias("by_login"))
+    # staged once: the names that are still asked for meet the people, then the answers meet the requests
+    asked = cut(requests.join(by_login, on, "left").withColumns({
         "_l": F.when(F.col("by_login").isNull(), F.col("lastname")), "_f": F.col("firstname"),
-        "_m": F.coalesce("midname", F.lit("")), "_b": iso_date(F.col("bdate"))})
+        "_m": F.coalesce("midname", F.lit("")), "_b": iso_date(F.col("bdate"))}))
+    names = ["_l", "_f", "_m", "_b"]
     # a missing middle name asks for patients without one; '' in a patient is a value and matches nothing
     people = patients.filter(F.col("surname").isNull() | (F.col("surname") != "")).select(
         F.col("lastname").alias("_l"), F.col("name").alias("_f"), F.coalesce("surname", F.lit("")).alias("_m"),
         F.col("birthdate").alias("_b"), "uuid").dropna(subset=["_l", "_f", "_b"])
-    names = ["_l", "_f", "_m", "_b"]
-    by_name = people.groupBy(*names).agg(F.min("uuid").alias("by_name"))
-    found = lookup(asked, by_name, names)
-    return found.select(*requests.columns, F.coalesce("by_login", "by_name").alias("uuid"),
-                        F.when(F.col("by_login").isNotNull(), "LOGIN").when(F.col("by_name").isNotNull(), "PERSONAL").alias("found_by"))
+    by_name = people.join(asked.select(*names), names, "left_semi").groupBy(*names).agg(F.min("uuid").alias("by_name"))
+    return asked.join(by_name, names, "left").select(
+        *requests.columns, F.coalesce("by_login", "by_name").alias("uuid"),
+        F.when(F.col("by_login").isNotNull(), "LOGIN").when(F.col("by_name").isNotNull(), "PERSONAL").alias("found_by"))
 
 
-def _substrings(text: Column, n: int) -> Column:
+def _grams(text: Column, n: int) -> Column:
     """All substrings of length ``n``."""
     starts = F.sequence(F.lit(1), F.length(text) - (n - 1))
-    return F.when(F.length(text) >= n, F.transform(starts, lambda i: F.substring(text, i, F.lit(n)))).otherwise(
-        F.array().cast("array<string>"))
+    return F.when(F.length(text) >= n, F.transform(starts, lambda i: F.struct(F.lit(n).alias("n"), F.substring(text, i, F.lit(n)).alias("gram")))).otherwise(
+        F.array().cast("array<struct<n:int,gram:string>>"))
 
 
 def similar_ids(requests: DataFrame, ids: DataFrame, k: int = 20) -> DataFrame:
     """Ids that contain the part before '/' of a requested id, the first ``k`` of each request.
 
-    Substrings of the lengths that are asked for become join keys, so no request is compared with
-    every id. Ids are at most 255 characters, which bounds the number of lengths.
+    An id is a candidate if it has the end of the pattern, cut to a power of two characters: an id has at most
+    eight lengths of such pieces whatever is asked, and a piece is at least half of the pattern. Candidates are
+    checked for the whole pattern.
     """
     patterns = requests.select("hisnumber", F.split("hisnumber", "/")[0].alias("pattern")).distinct()
-    asked = patterns.select("pattern").distinct()
-    lengths = [r[0] for r in asked.filter("pattern <> ''").select(F.length("pattern")).distinct().collect()]
-    if not lengths:
-        return patterns.select("hisnumber", "pattern", F.col("hisnumber").alias("similar_id"), F.lit(1).alias("rank")).limit(0)
-    parts = F.array_distinct(F.flatten(F.array(*[_substrings(F.col("id"), n) for n in sorted(lengths)])))
-    pieces = ids.select(F.col("hisnumber").alias("id")).distinct().select("id", F.explode(parts).alias("pattern"))
-    hits = pieces.join(asked, "pattern", "left_semi")
+    size = F.pow(F.lit(2), F.floor(F.log2(F.length("pattern")))).cast("int")
+    asked = patterns.filter("pattern <> ''").select("pattern").distinct().withColumn("n", size).withColumn(
+        "gram", F.expr("right(pattern, n)"))
+    parts = F.array_distinct(F.flatten(F.array(*[_grams(F.col("id"), 1 << i) for i in range(8)])))
+    named = ids.select(F.col("hisnumber").alias("id")).distinct()
+    pieces = named.select("id", F.explode(parts).alias("p")).select("id", "p.n", "p.gram").join(
+        F.broadcast(asked.select("n").distinct()), "n", "left_semi")
+    hits = pieces.join(asked, ["n", "gram"]).filter(F.contains("id", "pattern"))
     # the row number filter keeps k rows of a pattern per map task already
     top = hits.withColumn("rank", F.row_number().over(Window.partitionBy("pattern").orderBy("id"))).filter(F.col("rank") <= k)
     return patterns.join(top, "pattern").select("hisnumber", "pattern", F.col("id").alias("similar_id"), "rank")

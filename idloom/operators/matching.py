@@ -23,12 +23,13 @@ from idloom.session import cut
 @dataclass
 class Resolution:
     """``assigned``: records with uuid and match type; ``golden``: all golden rows afterwards;
-    ``log``: audit rows; ``rejects``: records with reason."""
+    ``log``: audit rows; ``rejects``: records with reason; ``touched``: the golden rows that are new or changed."""
 
     assigned: DataFrame
     golden: DataFrame
     log: DataFrame
     rejects: DataFrame
+    touched: DataFrame | None = None
 
 
 def order() -> Column:
@@ -146,11 +147,20 @@ def assign(batch: DataFrame, mobile: DataFrame, patients: DataFrame,
 
 
 def survivorship(assigned: DataFrame, patients: DataFrame) -> DataFrame:
-    """Golden rows after the batch: what a golden row has stays, gaps are filled by the first record
-    that has a value, the contact block of a source is the one of its last record.
+    """All golden rows after the batch. Rows the batch does not touch pass through without a shuffle when the batch is small."""
+    return overlay(patients, touched_by(assigned, patients))
 
-    Rows the batch does not touch pass through without a shuffle when the batch is small.
-    """
+
+def overlay(patients: DataFrame, touched: DataFrame, gone: DataFrame | None = None) -> DataFrame:
+    """Golden rows with those in ``touched`` put in, and those of the uuids in ``gone`` taken out."""
+    stale = touched.select("uuid") if gone is None else touched.select("uuid").unionByName(gone.select("uuid"))
+    kept = schemas.fit(patients, schemas.GOLDEN).join(stale, "uuid", "left_anti")
+    return touched.select(*schemas.GOLDEN.fieldNames()).unionByName(kept.select(*schemas.GOLDEN.fieldNames()))
+
+
+def touched_by(assigned: DataFrame, patients: DataFrame) -> DataFrame:
+    """Golden rows that the batch makes or changes: what a golden row has stays, gaps are filled by the first
+    record that has a value, the contact block of a source is the one of its last record."""
     linked = F.col("phase") == 0
     numbered = F.col("document_number").isNotNull()
 
@@ -165,16 +175,14 @@ def survivorship(assigned: DataFrame, patients: DataFrame) -> DataFrame:
         first("document_number", numbered).alias("_document_number"),
         *[F.max_by(block, F.when(F.col("source") == s, order())).alias(f"_{x}") for s, x in SUFFIX.items()],
         F.bool_or(F.col("mobile_app_uuid").isNotNull()).alias("_registered_via_mobile"))
-    stored = schemas.fit(patients, schemas.GOLDEN)
-    touched, untouched = (stored.join(brought.select("uuid"), "uuid", how) for how in ("left_semi", "left_anti"))
+    held = schemas.fit(patients, schemas.GOLDEN).join(brought.select("uuid"), "uuid", "left_semi")
     filled = [*DEMOGRAPHICS, "documenttypes", "document_number", "primary_source", "registered_via_mobile"]
     out = {c: F.coalesce(c, f"_{c}") for c in filled}
     for x in SUFFIX.values():
         for p in BLOCK.values():
             out[f"{p}_{x}"] = F.when(F.col(f"_{x}").isNotNull(), F.col(f"_{x}")[p]).otherwise(F.col(f"{p}_{x}"))
     out["matching_locked"] = is_locked()
-    return brought.join(touched, "uuid", "left").withColumns(out).select(*schemas.GOLDEN.fieldNames()).unionByName(
-        untouched.select(*schemas.GOLDEN.fieldNames()))
+    return brought.join(held, "uuid", "left").withColumns(out).select(*schemas.GOLDEN.fieldNames())
 
 
 def match_log(assigned: DataFrame, as_of) -> DataFrame:
@@ -205,8 +213,9 @@ def resolve(batch: DataFrame, mobile: DataFrame, patients: DataFrame, as_of,
     stored = schemas.fit(done, schemas.DET)
     if given is not None:
         stored = stored.unionByName(schemas.fit(given, schemas.DET))
+    touched = touched_by(done, patients)
     return Resolution(
-        assigned=stored, golden=survivorship(done, patients), log=match_log(done, as_of),
+        assigned=stored, golden=overlay(patients, touched), touched=touched, log=match_log(done, as_of),
         rejects=result.filter(F.col("reject_reason").isNotNull()).select(*batch.columns, "reject_reason"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from idloom import schemas
-from idloom.operators.matching import Resolution, is_locked, is_mobile, mobile_user_lookup
+from idloom.operators.matching import Resolution, is_locked, is_mobile, mobile_user_lookup, overlay
 from idloom.operators.skew import attach, lookup, salted
 from idloom.schemas import BLOCK, DEMOGRAPHICS, SUFFIX
 from idloom.session import cut
@@ -68,13 +68,14 @@ def merge_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     lonely = nodes.filter("uuid = other_uuid").select("uuid", F.col("uuid").alias("component"))
     e = _distinct_pairs(nodes.filter("uuid <> other_uuid"), "uuid", "other_uuid")
     mark = _fingerprint(e)
-    for _ in range(max_rounds):
+    for _ in range(max_rounds if mark[0] else 0):
         e = cut(_small_star(_large_star(e)))
         last, mark = mark, _fingerprint(e)
         if mark == last:
             break
     else:
-        raise RuntimeError(f"components not settled after {max_rounds} rounds")
+        if mark[0]:
+            raise RuntimeError(f"components not settled after {max_rounds} rounds")
     # now every edge is (node, least node of its component)
     roots = e.select(F.col("v").alias("uuid"), F.col("v").alias("component")).distinct()
     members = e.select(F.col("u").alias("uuid"), F.col("v").alias("component"))
@@ -207,6 +208,11 @@ def newest_records(batch: DataFrame, det: DataFrame, patients: DataFrame) -> Dat
 
 
 def update_regular(rows: DataFrame, patients: DataFrame) -> DataFrame:
+    """All golden rows, those of accepted records overwritten."""
+    return overlay(patients, overwritten(rows, patients))
+
+
+def overwritten(rows: DataFrame, patients: DataFrame) -> DataFrame:
     """Golden rows overwritten by the newest accepted record: demographics and document by the last record
     of the person, the contact block by the last one of each source, NULLs included."""
     person = F.struct(*DEMOGRAPHICS, *DOC)
@@ -215,11 +221,11 @@ def update_regular(rows: DataFrame, patients: DataFrame) -> DataFrame:
         F.max_by(person, F.col("o")).alias("_p"),
         *[F.max_by(block, F.when(F.col("source") == s, F.col("o"))).alias(f"_{x}") for s, x in SUFFIX.items()])
     old = schemas.fit(patients, schemas.GOLDEN)
-    cols = {c: F.when(F.col("_p").isNotNull(), F.col(f"_p.{c}")).otherwise(F.col(c)) for c in [*DEMOGRAPHICS, *DOC]}
+    cols = {c: F.col(f"_p.{c}") for c in [*DEMOGRAPHICS, *DOC]}
     for x in SUFFIX.values():
         for p in BLOCK.values():
             cols[f"{p}_{x}"] = F.when(F.col(f"_{x}").isNotNull(), F.col(f"_{x}.{p}")).otherwise(F.col(f"{p}_{x}"))
-    return old.join(new, "uuid", "left").withColumns(cols).select(*old.columns)
+    return old.join(new, "uuid").withColumns(cols).select(*old.columns)
 
 
 def update_log(rows: DataFrame, mobile: DataFrame, as_of) -> DataFrame:
@@ -250,17 +256,21 @@ def upsert_known(batch: DataFrame, det: DataFrame, patients: DataFrame, mobile:
     """
     rows = keep(newest_records(batch, det, patients))
     good = rows.filter(F.col("reject_reason").isNull())
-    after = keep(update_regular(rows, patients))
+    fresh = keep(overwritten(rows, patients))
+    after = overlay(patients, fresh)
     changed = good.filter("changed").select("uuid", *DOC, "reject_reason")
     pairs = keep(merge_survivor(merge_components(merge_pairs(changed, after)), after))
     merged = pairs.select(F.explode(F.array("loser", "survivor")).alias("uuid")).distinct()
     flagged = salted(rows, merged.withColumn("_merged", F.lit(True)), ["uuid"])
     log = update_log(flagged.withColumn("changed", F.col("changed") & F.col("_merged").isNull()), mobile, as_of)
     causes = good.filter("changed").select("uuid", "hisnumber", "source", "document_number")
-    golden = merge_patients(pairs, after, good.filter("changed"))
+    # only survivors and the rows overwritten before are written again
+    folded = schemas.fit(merge_fields(pairs, after, good.filter("changed")), schemas.GOLDEN)
+    losers = pairs.select(F.col("loser").alias("uuid"))
+    touched = keep(overlay(fresh.join(losers, "uuid", "left_anti"), folded))
     assigned = merge_repoint(pairs, schemas.fit(good, schemas.DET))
     return Resolution(
-        assigned=assigned, golden=golden, log=log.unionByName(merge_log(pairs, causes, as_of)),
+        assigned=assigned, golden=overlay(patients, touched, losers), touched=touched, log=log.unionByName(merge_log(pairs, causes, as_of)),
         rejects=rows.filter(F.col("reject_reason").isNotNull()).select(*schemas.RECORD_COLUMNS, "reject_reason")), pairs
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from idloom.operators.lookups import find_by_credentials
-from idloom.operators.skew import attach, lookup
 from idloom.session import cut
 
 
@@ -25,54 +24,57 @@ def _filled(df: DataFrame, updates: DataFrame, columns: list[str]) -> DataFrame:
 NUMBERS = ("hisnumber_a", "hisnumber_b")
 
 
-def mobile_register(requests: DataFrame, mobile: DataFrame, enabled: bool = True, require_both: bool = False,
-                    max_rounds: int = 200) -> tuple[DataFrame, DataFrame]:
+def _asked(requests: DataFrame) -> DataFrame:
+    """(request_id, kind, number): each number a request asks for."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("kind"), F.col(c).alias("number")) for c in NUMBERS])
+    return requests.select("request_id", F.explode(pairs).alias("n")).select("request_id", "n.kind", "n.number").filter("number IS NOT NULL")
+
+
+def mobile_register(requests: DataFrame, mobile: DataFrame, enabled: bool = True,
+                    require_both: bool = False) -> tuple[DataFrame, DataFrame]:
     """Accepted registrations (uuid, hisnumber_a, hisnumber_b, request_id) and rejects.
 
     Requests count in the order of ``request_id``; a number that is registered, or was given to an
     earlier accepted request, is taken. Blank numbers count as missing.
+
+    In each round the requests that come first for all their numbers win, and in the next those that ask for a
+    number just given lose. The least open request always wins, so rounds go on until none is open; each one
+    reads the open requests only, and a chain of n requests that wait for each other takes n / 2 rounds.
     """
     asked = requests.select("request_id", *[F.nullif(F.col(c), F.lit("")).alias(c) for c in NUMBERS])
     a, b = F.col("hisnumber_a"), F.col("hisnumber_b")
     policy = F.when(F.lit(not enabled), "DISABLED").when(a.isNull() & b.isNull(), "NO_NUMBER")
     if require_both:
         policy = policy.when(a.isNull() | b.isNull(), "BOTH_REQUIRED")
-    ruled = asked.withColumn("reject_reason", policy)
-    rejects = [ruled.filter(F.col("reject_reason").isNotNull())]
-    accepted = None
-    rest = cut(ruled.filter(F.col("reject_reason").isNull()).drop("reject_reason"))
-    given = mobile
-    for _ in range(max_rounds):
-        # who holds a number that is given already loses; who is first for all its numbers wins
-        for c in NUMBERS:
-            held = given.select(c).filter(F.col(c).isNotNull()).distinct()
-            rest = lookup(rest, held.withColumn(f"_held_{c}", F.lit(True)), [c])
-        lost = F.coalesce("_held_hisnumber_a", "_held_hisnumber_b", F.lit(False))
-        rejects.append(rest.filter(lost).select(*asked.columns, F.lit("NUMBER_TAKEN").alias("reject_reason")))
-        rest = cut(rest.filter(~lost).select(*asked.columns))
+    ruled = cut(asked.withColumn("reject_reason", policy))
+    settled = [ruled.filter(F.col("reject_reason").isNotNull()).withColumn("state", F.lit("rejected"))]
+    rest = ruled.filter(F.col("reject_reason").isNull()).drop("reject_reason")
+    given = mobile.select(F.lit(None).cast("long").alias("request_id"), *NUMBERS)
+    while True:
+        taken = _asked(given).select("kind", "number").distinct()
+        numbers = _asked(rest)
+        lost = numbers.join(taken, ["kind", "number"], "left_semi").select("request_id").distinct().withColumn("_lost", F.lit(True))
+        left = rest.join(lost, "request_id", "left")
+        # of the requests that have not lost, those that are first for every number they ask for
+        standing = numbers.join(lost, "request_id", "left_anti")
+        firsts = standing.groupBy("kind", "number").agg(F.min("request_id").alias("request_id")).groupBy("request_id").agg(
+            F.count("*").alias("_firsts"))
+        wanted = sum((F.col(c).isNotNull().cast("int") for c in NUMBERS), F.lit(0))
+        state = F.when(F.col("_lost"), "rejected").when(F.col("_firsts") == wanted, "accepted").otherwise("open")
+        done = cut(left.join(firsts, "request_id", "left").select(*asked.columns, F.when(F.col("_lost"), "NUMBER_TAKEN").alias("reject_reason"),
+                                                                 state.alias("state")))
+        settled.append(done.filter("state <> 'open'"))
+        rest = done.filter("state = 'open'").select(*asked.columns)
+        given = done.filter("state = 'accepted'").select(*asked.columns)
         if rest.isEmpty():
             break
-        marked = rest
-        for c in NUMBERS:
-            firsts = rest.filter(F.col(c).isNotNull()).groupBy(c).agg(
-                F.min("request_id").alias(f"_first_{c}"), F.count("*").alias(f"_rows_{c}"))
-            marked = attach(marked, firsts, [c], f"_rows_{c}")
-        wins = F.lit(True)
-        for c in NUMBERS:
-            wins = wins & (F.col(c).isNull() | (F.col(f"_first_{c}") == F.col("request_id")))
-        marked = cut(marked.select(*asked.columns, wins.alias("_wins")))
-        given = marked.filter("_wins").drop("_wins")
-        accepted = given if accepted is None else accepted.unionByName(given)
-        rest = marked.filter("NOT _wins").drop("_wins")
-    else:
-        raise RuntimeError(f"registrations not settled after {max_rounds} rounds")
-    if accepted is None:
-        accepted = rest
-    out = rejects[0]
-    for r in rejects[1:]:
-        out = out.unionByName(r)
+    out = settled[0]
+    for part in settled[1:]:
+        out = out.unionByName(part)
+    accepted, rejected = out.filter("state = 'accepted'"), out.filter("state = 'rejected'")
     return accepted.select(
-        F.md5(F.concat(F.lit("mobile-request|"), F.col("request_id").cast("string"))).alias("uuid"), *NUMBERS, "request_id"), out
+        F.md5(F.concat(F.lit("mobile-request|"), F.col("request_id").cast("string"))).alias("uuid"), *NUMBERS, "request_id"), \
+        rejected.select(*asked.columns, "reject_reason")
 
 
 def mobile_update_numbers(mobile: DataFrame, updates: DataFrame) -> DataFrame:
@@ -98,8 +100,7 @@ def classify_requests(requests: DataFrame, patients: DataFrame) -> DataFrame:
     numbers = patients.select("uuid", *[F.nullif(F.col(c), F.lit("")).alias(c) for c in ("hisnumber_a", "hisnumber_b")])
     hits = found.filter(F.col("uuid").isNotNull())
     wanted = numbers.join(hits.select("uuid"), "uuid", "left_semi")
-
-    known = lookup(found, wanted.withColumn("_k", F.lit(True)), ["uuid"])
+    known = found.join(wanted.withColumn("_k", F.lit(True)), "uuid", "left")
     missing = F.array_compact(F.array(F.when(F.col("hisnumber_a").isNull(), "A"), F.when(F.col("hisnumber_b").isNull(), "B")))
     return known.select(
         "request_id", "uuid", "hisnumber_a", "hisnumber_b",

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 HOT_ROWS = "idloom.skew.hotRows"
 _SALTS = 4096
-_HOT_KEYS = 64
+_HOT_KEYS = 4096
 
 
 def hot_rows(df: DataFrame) -> int:
@@ -77,20 +77,27 @@ def lookup(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
 def attach_by(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """``attach`` of two large tables on one key, hot keys found by a frequent-items sketch.
 
-    The sketch over the key column costs one scan and no shuffle of keys. It names at most 64
-    candidates and only decides the route of a row, never the result.
+    The sketch over the key column costs one scan and no shuffle of keys. It names at most 4,096
+    candidates, among them every key with more than that part of the rows, and only decides the route of a row, never the result.
     """
     top = left.select(F.expr(
-        f"approx_top_k({key}, {_HOT_KEYS}, 10000)").alias("_t")).select(F.explode("_t").alias("_t"))
+        f"approx_top_k({key}, {_HOT_KEYS}, 100000)").alias("_t")).select(F.explode("_t").alias("_t"))
     counts = top.select(F.col("_t.item").alias("_item"), F.col("_t.count").alias("_n"))
     sized = right.join(F.broadcast(counts), F.col(key) == F.col("_item"), "left").select(
         *right.columns, F.coalesce("_n", F.lit(0)).alias("_n_left"))
     return attach(left, sized, [key], "_n_left").drop("_n_left")
 
 
-def salted(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", salts: int = 16) -> DataFrame:
-    """Join with a right side that is small next to ``left`` and has one row per key: ``salts``
-    copies of it let a hot left key use that many tasks."""
+def salted(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join with a right side that is small next to ``left`` and has one row per key.
+
+    The rows of the most frequent key are counted first. If they fit one task it is a plain join, else copies
+    of the right side let a key use as many tasks as its rows need.
+    """
+    most = left.join(right.select(*keys), keys, "left_semi").groupBy(*keys).agg(F.count("*").alias("_n")).agg(F.max("_n")).first()[0]
+    salts = -(-(most or 0) // hot_rows(left))
+    if salts <= 1:
+        return left.join(right, keys, how)
     r = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     lft = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
     return lft.join(r, [*keys, "_salt"], how).drop("_salt")

@@ -287,6 +287,11 @@ def default_doc_type(fx):
     return fx.b_clients.select("pcode", N.default_doc_type(F.col("pasptype"), number).alias("documenttypes"))
 
 
+@query
+def conform_text_dates(fx):
+    return C.validated(C.conform_b(source_b.scan_source_b(fx.b_text_dates))).select("hisnumber", "birthdate", "reject_reason")
+
+
 @query
 def validate_record(fx):
     return C.parse_text_records(fx.bad_records)
@@ -366,6 +371,12 @@ def patient_protocols(fx):
     return J.patient_protocols(fx.stored("protocols"), _dims(fx))
 
 
+@query
+def patient_protocols_of(fx):
+    """Of the persons in a request table."""
+    return J.patient_protocols(fx.stored("protocols"), _dims(fx), fx.stored("doc_updates").select("uuid"))
+
+
 @query
 def patient_raw_records(fx):
     return J.patient_raw_records(fx.stored("det_fix"), _dims(fx))
@@ -539,6 +550,29 @@ def manual_merge(fx):
     return without_times(out["patients"])
 
 
+@query
+def manual_merge_det(fx):
+    out = G.manual_merge(fx.stored("merge_requests"), golden(fx), det(fx), fx.stored("protocols"), AS_OF)
+    return out["det"].select("hisnumber", "source", "uuid")
+
+
+@query
+def manual_merge_protocols(fx):
+    out = G.manual_merge(fx.stored("merge_requests"), golden(fx), det(fx), fx.stored("protocols"), AS_OF)
+    return out["protocols"].select("id", "uuid")
+
+
+@query
+def lock_outcome(fx):
+    return M.lock_outcome(fx.stored("merge_requests").select(F.col("source_uuid").alias("uuid")), golden(fx))
+
+
+@query
+def mobile_update_number(fx):
+    updates = fx.stored("number_updates").select("request_id", "uuid", F.col("hisnumber_a").alias("hisnumber"))
+    return R.mobile_update_number(fx.stored("mobile_app_users"), updates, 1)
+
+
 @query
 def manual_merge_log(fx):
     out = G.manual_merge(fx.stored("merge_requests"), golden(fx), det(fx), fx.stored("protocols"), AS_OF)
@@ -583,7 +617,22 @@ def dup_by_document(fx):
 
 @query
 def dup_by_name(fx):
-    return A.dup_by_name(fx.stored("patients_fix"))
+    return A.dup_by_name(fx.stored("namesakes"))
+
+
+def _as_text(lists: DataFrame) -> DataFrame:
+    return lists.withColumn("uuids", F.concat_ws(",", "uuids"))
+
+
+@query
+def dup_by_name_lists(fx):
+    """One row per group and part, largest groups first."""
+    return _as_text(A.duplicate_lists(A.dup_by_name(fx.stored("namesakes"))))
+
+
+@query
+def dup_by_document_lists(fx):
+    return _as_text(A.duplicate_lists(A.dup_by_document(fx.stored("patients_fix"))))
 
 
 @query
@@ -728,34 +777,89 @@ def check_lengths(fx):
 
 # ---- pipelines and streams -----------------------------------------------------------------
 
-def _store(fx: Inputs, seeded: bool) -> store.Store:
+def _store(fx: Inputs, seeded: bool, protocols: bool = False) -> store.Store:
     s = store.Store(fx.spark, scratch(fx.spark, "store"))
     tables = {"mobile": fx.stored("mobile_app_users")}
     if seeded:
         tables |= {"det": det(fx), "patients": golden(fx)}
+    if protocols:
+        tables["protocols"] = fx.stored("protocols")
     s.commit("seed", **tables)
     return s
 
 
+def _loaded(fx: Inputs) -> store.Store:
+    s = _store(fx, seeded=False)
+    P.pipeline_initial_load({"clients": fx.b_clients}, s, AS_OF)
+    return s
+
+
+def _synced(fx: Inputs, **options) -> store.Store:
+    s = _store(fx, seeded=True, **options)
+    P.pipeline_sync_a({"lines": fx.stored("a_lines"), "processed": fx.processed_a}, s, AS_OF)
+    return s
+
+
+def _applied(fx: Inputs) -> store.Store:
+    s = _store(fx, seeded=True)
+    P.pipeline_delta_b({"delta": fx.stored("delta_clients")}, s, AS_OF)
+    return s
+
+
 @query
 def pipeline_initial_load(fx):
+    return _loaded(fx).read("det")
+
+
+@query
+def pipeline_load_status(fx):
+    """What the load notes about itself: completion, rejects, watermark."""
+    s = _loaded(fx)
+    return s.read("status").join(s.read("control"), "source").select(
+        "source", "source_count", "destination_count", "rejected", "is_complete", "last_id", F.col("last_sync").isNotNull().alias("synced"))
+
+
+@query
+def pipeline_load_twice(fx):
+    """Two loads into one store, the second one of clients that came later."""
     s = _store(fx, seeded=False)
+    P.pipeline_initial_load({"clients": fx.b_clients.filter("pcode % 3 <> 0")}, s, AS_OF)
     P.pipeline_initial_load({"clients": fx.b_clients}, s, AS_OF)
-    return s.read("det")
+    return s.read("det").drop("uuid")
 
 
 @query
 def pipeline_sync_a(fx):
-    s = _store(fx, seeded=True)
-    P.pipeline_sync_a({"lines": fx.stored("a_lines"), "processed": fx.processed_a}, s, AS_OF)
-    return without_times(s.read("patients"))
+    return without_times(_synced(fx).read("patients"))
+
+
+@query
+def pipeline_sync_processed(fx):
+    return _synced(fx).read("processed")
+
+
+@query
+def pipeline_sync_protocols(fx):
+    """Protocols after a sync whose merges they have to follow."""
+    return _synced(fx, protocols=True).read("protocols").select("id", "uuid")
 
 
 @query
 def pipeline_delta_b(fx):
-    s = _store(fx, seeded=True)
-    P.pipeline_delta_b({"delta": fx.stored("delta_clients")}, s, AS_OF)
-    return s.read("matching_log").drop("details")
+    return _applied(fx).read("matching_log").drop("details")
+
+
+@query
+def pipeline_delta_deletes(fx):
+    return _applied(fx).read("deletes")
+
+
+@query
+def pipeline_delta_marks(fx):
+    """The change log after the batch, the rows that it consumed marked."""
+    marks = _applied(fx).read("marks").select("seq").distinct().withColumn("_m", F.lit(True))
+    return fx.stored("delta_clients").join(marks, "seq", "left").select(
+        "seq", "pcode", F.when(F.col("_m"), "Y").otherwise(F.col("processed")).alias("processed"))
 
 
 @query
@@ -764,40 +868,46 @@ def route_sync_mode(fx):
     return P.route_sync_mode(raw_b(fx), fx.stored("det_fix"), control_table, 2)
 
 
-def _stream(fx: Inputs) -> Inputs:
-    """The same views with the events arriving as a stream."""
-    schema = fx.table("events").schema
-    events = fx.spark.readStream.schema(schema).parquet(f"{fx.sf_dir}/events.parquet*")
-    return Inputs(fx.spark, fx.sf_dir, events=events)
+#: micro-batches the events arrive in; each one holds events of all times
+DELIVERIES = 5
+
+
+def _delivered(fx: Inputs, run: Callable[[Inputs, str], object]) -> None:
+    """Land the events in out-of-order deliveries, and run the stream after each one from the same checkpoint."""
+    landing, checkpoint = scratch(fx.spark, "landing"), scratch(fx.spark, "checkpoint")
+    events = fx.table("events")
+    for i in range(DELIVERIES):
+        events.filter(F.col("event_id") % DELIVERIES == i).write.mode("append").parquet(landing)
+        stream = fx.spark.readStream.schema(events.schema).parquet(landing)
+        run(Inputs(fx.spark, fx.sf_dir, events=stream), checkpoint).awaitTermination()
 
 
 @query
 def stream_delta_apply(fx):
     s = _store(fx, seeded=True)
-    ST.stream_delta_apply(_stream(fx).delta_clients, s, scratch(fx.spark, "checkpoint"), AS_OF).awaitTermination()
+    _delivered(fx, lambda late, checkpoint: ST.stream_delta_apply(late.delta_clients, s, checkpoint, AS_OF))
     return s.read("det")
 
 
 @query
 def stream_latest_state(fx):
-    sink = scratch(fx.spark, "latest")
-    ST.stream_latest_state(_stream(fx).delta_clients, sink, scratch(fx.spark, "checkpoint")).awaitTermination()
-    return ST.latest_state(fx.spark.read.schema(schemas.DELTA).parquet(sink))
+    s = store.Store(fx.spark, scratch(fx.spark, "store"))
+    _delivered(fx, lambda late, checkpoint: ST.stream_latest_state(late.delta_clients, s, checkpoint))
+    return s.read("changes")
 
 
 @query
 def stream_dedup(fx):
-    sink = scratch(fx.spark, "dedup")
-    stream = _stream(fx).delta_clients
-    ST.stream_dedup(stream.unionByName(stream), sink, scratch(fx.spark, "checkpoint"), ["seq"]).awaitTermination()
-    return fx.spark.read.schema(schemas.DELTA).parquet(sink)
+    s = store.Store(fx.spark, scratch(fx.spark, "store"))
+    _delivered(fx, lambda late, checkpoint: ST.stream_dedup(late.delta_clients.unionByName(late.delta_clients), s, checkpoint))
+    return s.read("deliveries")
 
 
 @query
 def stream_activity_window(fx):
-    sink = scratch(fx.spark, "activity")
-    ST.stream_activity_window(_stream(fx).matching_log, sink, scratch(fx.spark, "checkpoint")).awaitTermination()
-    return fx.spark.read.schema("window_start timestamp_ntz, window_end timestamp_ntz, source int, count long").parquet(sink)
+    s = store.Store(fx.spark, scratch(fx.spark, "store"))
+    _delivered(fx, lambda late, checkpoint: ST.stream_activity_window(late.matching_log, s, checkpoint))
+    return s.read("activity")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -142,6 +142,21 @@ SELECT k AS request_id, md5('p|' || CAST(CASE WHEN k % 9 = 1 THEN k - 1 ELSE k E
 FROM people""",
 }
 
+VIEWS |= {
+    # birth dates of source B as text: day first and year first, padded and not, impossible, blank, missing
+    "b_text_dates": """
+SELECT pcode, filial, lastname, firstname, midname, CASE pcode % 6
+ WHEN 0 THEN lpad(CAST(day(bdate) AS STRING), 2, '0') || '.' || lpad(CAST(month(bdate) AS STRING), 2, '0') || '.' || CAST(year(bdate) AS STRING)
+ WHEN 1 THEN CAST(day(bdate) AS STRING) || '.' || CAST(month(bdate) AS STRING) || '.' || CAST(year(bdate) AS STRING)
+ WHEN 2 THEN CAST(bdate AS STRING) WHEN 3 THEN '31.02.1980' WHEN 4 THEN ' ' END AS bdate
+FROM b_clients""",
+    # golden rows some of which are there twice under another uuid, with and without a middle name
+    "namesakes": """
+SELECT uuid, lastname, name, surname, birthdate, documenttypes, document_number FROM patients_fix
+UNION ALL SELECT md5('n|' || uuid), lastname, name, surname, birthdate, documenttypes, document_number + 5 FROM patients_fix WHERE substr(uuid, 1, 1) < '3'
+UNION ALL SELECT md5('o|' || uuid), lastname, name, surname, birthdate, 2, document_number FROM patients_fix WHERE substr(uuid, 1, 1) = '1'""",
+}
+
 _NEEDS = {name: [v for v in VIEWS if v != name and re.search(rf"\b(FROM|JOIN) {v}\b", sql)] for name, sql in VIEWS.items()}
 
 

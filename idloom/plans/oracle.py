@@ -421,8 +421,8 @@ add("dup_by_document", """SELECT documenttypes, document_number, patient_count,
  count(*) OVER (PARTITION BY documenttypes, document_number) AS patient_count FROM patients_fix WHERE document_number IS NOT NULL AND documenttypes IS NOT NULL) t
  WHERE patient_count > 1""", "patients_fix")
 add("dup_by_name", """SELECT lastname, name, surname, birthdate, patient_count, uuid FROM (SELECT lastname, name, surname, birthdate, uuid,
- count(*) OVER (PARTITION BY lastname, name, surname, birthdate) AS patient_count FROM patients_fix
- WHERE lastname IS NOT NULL AND name IS NOT NULL AND birthdate IS NOT NULL) t WHERE patient_count > 1""", "patients_fix")
+ count(*) OVER (PARTITION BY lastname, name, surname, birthdate) AS patient_count FROM namesakes
+ WHERE lastname IS NOT NULL AND name IS NOT NULL AND birthdate IS NOT NULL) t WHERE patient_count > 1""", "namesakes")
 add("total_patients", "SELECT (SELECT count(*) FROM patients_fix) AS total_patients, (SELECT count(*) FROM mobile_app_users) AS total_mobile_users", "patients_fix", "mobile_app_users")
 add("count_by_match_type", "SELECT match_type, count(*) AS count FROM matching_log GROUP BY match_type", "matching_log")
 add("stats_by_source", """SELECT s.name AS source_name, count(DISTINCT d.uuid) AS patient_count, count(*) AS record_count FROM det_fix d
@@ -523,15 +523,49 @@ add("pipeline_delta_b", f"""SELECT hisnumber, source, {NOW} AS match_time, CASE
 add("route_sync_mode", """SELECT 2 AS source, source_count, destination_count, is_complete, CASE WHEN NOT is_complete THEN 'INITIAL_LOAD'
  WHEN (SELECT max(match_time) FROM matching_log WHERE source = 2) IS NULL THEN 'SET_SYNC_TIME' ELSE 'DELTA_SYNC' END AS mode FROM rate""",
     "b_clients", "det_fix", "matching_log", ctes=f"{CONF_B},\n{RATE}")
+add("dup_by_name_lists", """SELECT lastname, name, surname, birthdate, count(*) AS patient_count, CAST(0 AS BIGINT) AS part, string_agg(uuid, ',' ORDER BY uuid) AS uuids
+ FROM namesakes WHERE lastname IS NOT NULL AND name IS NOT NULL AND birthdate IS NOT NULL GROUP BY 1, 2, 3, 4 HAVING count(*) > 1""", "namesakes")
+add("dup_by_document_lists", """SELECT documenttypes, document_number, count(*) AS patient_count, CAST(0 AS BIGINT) AS part, string_agg(uuid, ',' ORDER BY uuid) AS uuids
+ FROM patients_fix WHERE documenttypes IS NOT NULL AND document_number IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1""", "patients_fix")
+add("patient_protocols_of", """SELECT r.id, r.uuid, r.source, s.name AS source_name, r.businessunit, u.name AS businessunit_name, r.date, r.doctor, r.protocolname,
+ r.servicename, r.servicecode FROM protocols r JOIN dim_sources s ON s.id = r.source JOIN dim_businessunits u ON u.id = r.businessunit
+ WHERE r.uuid IN (SELECT uuid FROM doc_updates)""", "protocols", "doc_updates", ctes=DIMS)
+add("manual_merge_det", """SELECT d.hisnumber, d.source, coalesce(r.survivor, d.uuid) AS uuid FROM det_fix d
+ LEFT JOIN (SELECT DISTINCT uuid, survivor FROM roles WHERE uuid <> survivor) r ON r.uuid = d.uuid""", "merge_requests", "patients_fix", "det_fix", ctes=MANUAL)
+add("manual_merge_protocols", """SELECT d.id, coalesce(r.survivor, d.uuid) AS uuid FROM protocols d
+ LEFT JOIN (SELECT DISTINCT uuid, survivor FROM roles WHERE uuid <> survivor) r ON r.uuid = d.uuid""", "merge_requests", "patients_fix", "protocols", ctes=MANUAL)
+add("lock_outcome", "SELECT DISTINCT source_uuid AS uuid, source_uuid IN (SELECT uuid FROM patients_fix) AS found FROM merge_requests", "merge_requests", "patients_fix")
+add("mobile_update_number", f"""SELECT m.uuid, coalesce(n_hisnumber_a, hisnumber_a) AS hisnumber_a, hisnumber_b
+ FROM mobile_app_users m LEFT JOIN {latest_filled('number_updates', ['hisnumber_a'])} u ON u.uuid = m.uuid""", "mobile_app_users", "number_updates")
+add("conform_text_dates", """SELECT CAST(t.pcode AS VARCHAR) AS hisnumber, CASE WHEN t.pcode % 6 < 3 THEN c.bdate END AS birthdate,
+ CASE WHEN t.pcode % 6 = 3 THEN 'BAD_DATE' END AS reject_reason FROM b_text_dates t JOIN b_clients c USING (pcode) WHERE t.pcode > 0""", "b_text_dates", "b_clients")
+
+# what a load, a sync and a change log leave beside the records
+add("pipeline_load_status", """SELECT 2 AS source, (SELECT count(*) FROM scan_b) AS source_count, (SELECT count(*) FROM lad) AS destination_count,
+ (SELECT count(*) FROM scan_b) - (SELECT count(*) FROM lad) AS rejected, (SELECT count(*) FROM lad) >= 0.95 * (SELECT count(*) FROM scan_b) AS is_complete,
+ (SELECT max(pcode) FROM b_clients) AS last_id, true AS synced""", "b_clients", "mobile_app_users", "patients_fix",
+    ctes=f"{CONF_B},\n{FEED_B},\n{NO_GOLD},\n{ladder('feed', 'mobile_app_users', 'no_gold')}")
+add("pipeline_load_twice", f"SELECT {CONF_COLS} FROM feed", "b_clients", ctes=f"{CONF_B},\n{FEED_B}")
+add("pipeline_sync_processed", "SELECT hisnumber FROM processed_a UNION SELECT hisnumber FROM a_records", "a_records", "processed_a")
+add("pipeline_sync_protocols", "SELECT id, coalesce(m.survivor, p.uuid) AS uuid FROM protocols p LEFT JOIN mrg m ON m.loser = p.uuid",
+    "a_records", "processed_a", "det_fix", "patients_fix", "protocols", ctes=SYNC)
+ORACLE["pipeline_delta_deletes"] = ORACLE["soft_delete"]
+add("pipeline_delta_marks", "SELECT seq, pcode, 'Y' AS processed FROM delta_clients", "delta_clients")
 OLD_ROW = ("d.hisnumber, d.source, d.businessunit, d.lastname, d.name, d.surname, d.birthdate, d.documenttypes, d.document_number, CAST(NULL AS VARCHAR) AS email, "
            "CAST(NULL AS VARCHAR) AS telephone, CAST(NULL AS VARCHAR) AS his_password, d.login_email, d.uuid")
+# five deliveries, each with its last change of a key; one that is older than what came before has no effect
+LATE = """(SELECT *, row_number() OVER (PARTITION BY pcode ORDER BY age DESC) AS rn FROM (
+ SELECT *, max(age) OVER (PARTITION BY pcode ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM (
+ SELECT *, row_number() OVER (PARTITION BY pcode, part ORDER BY age DESC) AS last FROM (
+ SELECT *, seq % 5 AS part, CAST(epoch_us(change_time) AS HUGEINT) * 1000000000 + seq AS age FROM delta_clients WHERE processed = 'N') a) b WHERE last = 1) c
+ WHERE (before IS NULL OR age > before) AND upper(operation) IN ('INSERT', 'UPDATE'))"""
 add("stream_delta_apply", f"""SELECT {OLD_ROW} FROM det_fix d WHERE NOT EXISTS (SELECT 1 FROM kn WHERE kn.source = d.source AND kn.hisnumber = d.hisnumber)
- UNION ALL SELECT {CONF_COLS}, uuid FROM kn UNION ALL SELECT {CONF_COLS}, uuid FROM lad""", "delta_clients", "det_fix", "patients_fix", "mobile_app_users", ctes=DELTA)
+ UNION ALL SELECT {CONF_COLS}, uuid FROM kn UNION ALL SELECT {CONF_COLS}, uuid FROM lad""", "delta_clients", "det_fix", "patients_fix", "mobile_app_users",
+    ctes=DELTA.replace(LATEST, LATE))
 ORACLE["stream_latest_state"] = ORACLE["delta_latest"]
 add("stream_dedup", "SELECT * FROM delta_clients", "delta_clients")
 add("stream_activity_window", """SELECT date_trunc('hour', match_time) AS window_start, date_trunc('hour', match_time) + INTERVAL 1 HOUR AS window_end, source, count(*) AS count
- FROM matching_log WHERE date_trunc('hour', match_time) + INTERVAL 1 HOUR <= (SELECT date_trunc('millisecond', max(match_time)) FROM matching_log) - INTERVAL 10 MINUTE
- GROUP BY 1, 2, 3""", "matching_log")
+ FROM matching_log GROUP BY 1, 2, 3""", "matching_log")
 
 
 def oracle_sql() -> dict[str, str]:

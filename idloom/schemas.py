@@ -80,6 +80,54 @@ DELTA = T.StructType([
     T.StructField("clmail", T.StringType()),
 ])
 
+PROTOCOLS = T.StructType([
+    T.StructField("id", T.LongType()),
+    T.StructField("uuid", T.StringType()),
+    T.StructField("source", T.IntegerType()),
+    T.StructField("businessunit", T.IntegerType()),
+    T.StructField("date", T.DateType()),
+    T.StructField("doctor", T.StringType()),
+    T.StructField("protocolname", T.StringType()),
+    T.StructField("servicename", T.StringType()),
+    T.StructField("servicecode", T.StringType()),
+])
+
+#: Ids of source A that have been processed, rejects included.
+PROCESSED = T.StructType([T.StructField("hisnumber", T.StringType())])
+
+#: Progress of each source.
+CONTROL = T.StructType([
+    T.StructField("source", T.IntegerType()),
+    T.StructField("last_id", T.LongType()),
+    T.StructField("last_sync", T.TimestampNTZType()),
+])
+
+#: The newest change of source B that was applied to a key, so that an older one that comes late has no effect.
+APPLIED = T.StructType([
+    T.StructField("hisnumber", T.StringType()),
+    T.StructField("source", T.IntegerType()),
+    T.StructField("change_time", T.TimestampNTZType()),
+    T.StructField("seq", T.LongType()),
+])
+
+#: Audit rows per source and window.
+ACTIVITY = T.StructType([
+    T.StructField("window_start", T.TimestampNTZType()), T.StructField("window_end", T.TimestampNTZType()),
+    T.StructField("source", T.IntegerType()), T.StructField("count", T.LongType())])
+
+REJECTS = T.StructType(RECORD.fields + [T.StructField("reject_reason", T.StringType())])
+#: Golden rows that went into another one.
+MERGES = T.StructType([T.StructField("loser", T.StringType()), T.StructField("survivor", T.StringType())])
+#: Delete requests of source B, which are noted and remove nothing.
+DELETES = T.StructType([T.StructField("hisnumber", T.StringType()), T.StructField("source", T.IntegerType()),
+                        T.StructField("action", T.StringType())])
+#: Rows of the change log that a batch consumed.
+MARKS = T.StructType([T.StructField("pcode", T.LongType()), T.StructField("seq", T.LongType())])
+STATUS = T.StructType([
+    T.StructField("pipeline", T.StringType()), T.StructField("source", T.IntegerType()), T.StructField("at", T.TimestampNTZType()),
+    T.StructField("source_count", T.LongType()), T.StructField("destination_count", T.LongType()),
+    T.StructField("rejected", T.LongType()), T.StructField("is_complete", T.BooleanType())])
+
 
 def fit(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select exactly ``schema``: cast what is there, NULL for what is not."""

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,6 +52,29 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/idloom/{name}-{uuid.uuid4().hex}"
 
 
+_open_scopes: list[list[str]] = []
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Remove the folders that ``cut`` writes inside this block when it ends.
+
+    Only for blocks whose results are stored elsewhere by then, such as a pipeline that ends with a commit.
+    """
+    _open_scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _open_scopes.pop():
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of shared storage."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and go on from there.
 
@@ -57,6 +82,8 @@ def cut(df: DataFrame) -> DataFrame:
     the columns they need, and the file sizes tell Spark how to join it.
     """
     path = scratch(df.sparkSession, "cut")
+    if _open_scopes:
+        _open_scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

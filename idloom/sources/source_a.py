@@ -114,21 +114,25 @@ def _exits(own, min_fields: int):
 
 
 def _entries(ends: DataFrame) -> DataFrame:
-    """Fields pending at the entry of each chunk that follows another one: (file, chunk, entry)."""
+    """Fields pending at the entry of each chunk that follows another one: (file, chunk, entry).
+
+    Chunks without any settling line are composed with what stands before them by doubling: after k rounds
+    a chunk's exits tell the way through 2^k chunks. A run of n of them takes log2 n rounds and no row grows with it.
+    """
     fixed = F.array_min("exits") == F.array_max("exits")
     known = ends.filter(fixed).select(
         "file", (F.col("chunk") + 1).alias("chunk"), F.element_at("exits", 1).alias("entry"))
-    # chunks without any settling line: follow each run of neighbours from its first chunk on
-    w = Window.partitionBy("file").orderBy("chunk")
-    runs = (ends.filter(~fixed).withColumn("run", F.col("chunk") - F.row_number().over(w))
-            .groupBy("file", "run").agg(F.min("chunk").alias("chunk"), F.array_sort(
-                F.collect_list(F.struct("chunk", "exits"))).alias("cs")))
-    path = F.aggregate(
-        "cs", F.array(F.coalesce("entry", F.lit(0))),
-        lambda acc, c: F.concat(acc, F.array(F.element_at(c["exits"], F.element_at(acc, -1) + 1))))
-    walked = runs.join(known, ["file", "chunk"], "left").select(
-        "file", "chunk", F.posexplode(path).alias("i", "entry")).filter("i > 0").select(
-        "file", (F.col("chunk") + F.col("i")).alias("chunk"), "entry")
+    open_ = ends.filter(~fixed).withColumn("begin", F.col("chunk"))
+    while True:
+        before = open_.select("file", (F.col("chunk") + 1).alias("begin"), F.col("exits").alias("_exits"), F.col("begin").alias("_begin"))
+        met = open_.join(before, ["file", "begin"], "left")
+        if met.filter(F.col("_begin").isNotNull()).isEmpty():
+            break
+        # first the way of the earlier chunks, then one's own
+        both = F.transform("_exits", lambda x: F.element_at("exits", x + 1))
+        open_ = cut(met.select("file", "chunk", F.coalesce(both, "exits").alias("exits"), F.coalesce("_begin", "begin").alias("begin")))
+    walked = open_.join(known.withColumnRenamed("chunk", "begin"), ["file", "begin"], "left").select(
+        "file", (F.col("chunk") + 1).alias("chunk"), F.element_at("exits", F.coalesce("entry", F.lit(0)) + 1).alias("entry"))
     return known.unionByName(walked)
 
 

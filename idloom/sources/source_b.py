@@ -33,9 +33,10 @@ def _shape(df: DataFrame) -> list:
     return [
         F.col("pcode").alias("hisnumber"),
         F.lit(SOURCE_ID).alias("source"),
-        N.norm_business_unit(c("filial").cast("int")).alias("businessunit"),
+        N.norm_business_unit(c("filial").try_cast("int")).alias("businessunit"),
         c("lastname").alias("lastname"), c("firstname").alias("name"), c("midname").alias("surname"),
-        c("bdate").cast("date").alias("birthdate"),
+        # text dates stay text: what they mean, and whether they are dates, is settled when records are conformed
+        (c("bdate") if dict(df.dtypes).get("bdate") == "string" else c("bdate").cast("date")).alias("birthdate"),
         c("pasptype").alias("documenttypes"),
         N.norm_doc_concat_b(c("paspser"), c("paspnum")).alias("document_number"),
         c("clmail").alias("email"),
