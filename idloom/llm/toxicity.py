@@ -24,9 +24,9 @@ FEATURES, BEGINNING = 1 << 17, 5
 #: bounds of the training sample: confirmed positives, unlabelled rows
 POSITIVES, UNLABELLED = 4_000, 12_000
 #: rounds of full-batch Adam, its step, the weight of the ridge penalty
-ROUNDS, STEP, RIDGE = 150, 0.05, 1e-4
+ROUNDS, STEP, RIDGE = 150, 0.05, 5e-4
 #: a feature must occur in so many rows, and its share among positives be so many standard errors off its share among all
-LEAST_ROWS, STANDARD_ERRORS = 4, 6.0
+LEAST_ROWS, STANDARD_ERRORS = 4, 5.0
 
 _WORD = re.compile(r"[^\W\d_]+")
 

@@ -150,7 +150,12 @@ def records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
             data = unzip.unused_data
         data = b"".join(plain)
     at = 0
-    while (end := data.find(b"\r\n\r\n", at)) >= 0:
+    while True:
+        while data[at:at + 2] == b"\r\n":  # what closes the record before
+            at += 2
+        end = data.find(b"\r\n\r\n", at)
+        if end < 0:
+            return
         lines = data[at:end].decode("utf-8", "replace").strip().split("\r\n")
         fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
         size = int(fields.get("content-length", "0"))

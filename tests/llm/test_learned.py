@@ -122,7 +122,7 @@ def test_toxic_documents_are_found(spark):
 def test_toxicity_on_odd_rows(spark):
     docs = spark.createDataFrame([(i, f"clean text {i}", 1.0) for i in range(200)] + [(1000 + i, f"you idiot {i}", 1.0) for i in range(60)]
                                  + [(None, None, None), (5, "", 1.0), (5, "", 1.0), (7, "idiot " * 50000, 1.0)], "doc_id long, text string, score double")
-    labels = spark.createDataFrame([(1000 + i, 1) for i in range(30)] + [(i, 0) for i in range(60)] + [(None, 1), (3, None), (1000, 1)], "doc_id long, toxic int")
+    labels = spark.createDataFrame([(1000 + i, 1) for i in range(30)] + [(i, 0) for i in range(110)] + [(None, 1), (3, None), (1000, 1)], "doc_id long, toxic int")
     model = toxicity.train(docs, labels, "toxic")
     out = {r.doc_id: r.predicted for r in toxicity.predict(docs, model, keep=["doc_id", "score"]).collect()}
     assert out[1050] == 1 and out[7] == 1 and out[150] == 0 and out[None] == 0 and out[5] == 0
