@@ -27,7 +27,7 @@ def _all(conditions: list[Column]) -> Column:
 
 
 def attach(left: DataFrame, right: DataFrame, keys: list[str], rows: str,
-           null_safe: bool = False) -> DataFrame:
+           null_safe: bool = False, threshold: int | None = None) -> DataFrame:
     """Left join of ``left`` with ``right``, which has one row per key.
 
     ``rows`` names the right column that says how many left rows carry the key. Keys above the
@@ -39,7 +39,7 @@ def attach(left: DataFrame, right: DataFrame, keys: list[str], rows: str,
     packed = right.select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
         F.struct(*payload).alias("_p"), F.col(rows).alias("_rows"))
-    hot = packed.filter(F.col("_rows") > hot_rows(left)).select(
+    hot = packed.filter(F.col("_rows") > (threshold or hot_rows(left))).select(
         *[F.col(f"_k{i}").alias(f"_h{i}") for i in range(len(keys))], F.col("_p").alias("_hot"))
     cold = packed.select(*[f"_k{i}" for i in range(len(keys))], F.lit(0).alias("_salt0"),
                          F.col("_p").alias("_cold"))
@@ -89,15 +89,16 @@ def attach_by(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def salted(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
-    """Join with a right side that is small next to ``left`` and has one row per key.
+    """Left or left semi join with a right side that has one row per key.
 
-    The rows of the most frequent key are counted first. If they fit one task it is a plain join, else copies
-    of the right side let a key use as many tasks as its rows need.
+    The rows per key are measured first. If those of every key fit one task it is a plain join; else the
+    right rows of keys above the threshold are broadcast, and the threshold rises with the number of rows so that
+    there are at most 4,096 of them.
     """
-    most = left.join(right.select(*keys), keys, "left_semi").groupBy(*keys).agg(F.count("*").alias("_n")).agg(F.max("_n")).first()[0]
-    salts = -(-(most or 0) // hot_rows(left))
-    if salts <= 1:
+    counts = left.join(right.select(*keys), keys, "left_semi").groupBy(*keys).agg(F.count("*").alias("_n_left"))
+    most, total = counts.agg(F.max("_n_left"), F.sum("_n_left")).first()
+    if (most or 0) <= hot_rows(left):
         return left.join(right, keys, how)
-    r = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    lft = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
-    return lft.join(r, [*keys, "_salt"], how).drop("_salt")
+    hit = right.withColumn("_hit", F.lit(True)).join(counts, keys)
+    found = attach(left, hit, keys, "_n_left", threshold=max(hot_rows(left), total // _HOT_KEYS)).drop("_n_left")
+    return (found.filter("_hit").select(*left.columns) if how == "left_semi" else found).drop("_hit")

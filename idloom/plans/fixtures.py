@@ -180,8 +180,8 @@ def with_clause(names: list[str]) -> str:
     return ",\n".join(f"{v} AS ({VIEWS[v].format(**plain)})" for v in closure(names))
 
 
-_SCHEMAS: dict[tuple[str, str], StructType] = {}
-_STORED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
+_SCHEMAS: dict[tuple, StructType] = {}
+_STORED: dict[tuple, tuple[str, StructType]] = {}
 
 
 class Inputs:
@@ -189,20 +189,30 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, sf_dir: str, **streams: DataFrame):
         self.spark, self.sf_dir, self.streams = tune(spark), sf_dir, streams
+        self._states: dict[str, tuple] = {}
 
     def table(self, name: str) -> DataFrame:
         if name in self.streams:
             return self.streams[name]
         path = f"{self.sf_dir}/{name}.parquet"
-        key = (self.spark.sparkContext.applicationId, path)
+        key = (self.spark.sparkContext.applicationId, path, self.state(name))
         if key not in _SCHEMAS:
             _SCHEMAS[key] = self.spark.read.parquet(path).schema
         return self.spark.read.schema(_SCHEMAS[key]).parquet(path)
 
+    def state(self, name: str) -> tuple:
+        """Size and time of a table's file or folder, which tell whether it is still the one that was read before."""
+        if name not in self._states:
+            where = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.sf_dir}/{name}.parquet")
+            found = where.getFileSystem(self.spark._jsc.hadoopConfiguration()).getFileStatus(where)
+            self._states[name] = (found.getLen(), found.getModificationTime())
+        return self._states[name]
+
     def stored(self, view: str) -> DataFrame:
         """The view as a stored table, the form in which the operators meet these inputs in use; written
-        to the shared folder once per session and data folder."""
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, view)
+        to the shared folder once per session and state of the driver's tables."""
+        used = " ".join(VIEWS[v] for v in closure([view]))
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, view, *(self.state(t) for t in TABLES if "{" + t + "}" in used))
         if key not in _STORED:
             path = scratch(self.spark, view)
             df = getattr(self, view)

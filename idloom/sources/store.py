@@ -174,7 +174,7 @@ class Store:
         stale = gone[0] if gone else schemas.empty(self.spark, schema).select(*key)
         for more in gone[1:]:
             stale = stale.unionByName(more)
-        stale = cut(stale.distinct())
+        stale = stale.distinct()
         touched = {str(r[0]) for r in stale.unionByName(rows.select(*key)).select(self.bucket(key)).distinct().collect()}
         if not touched:
             return {}
@@ -182,11 +182,12 @@ class Store:
         after = rows
         if held:
             after = self.spark.read.schema(schema).parquet(*held).join(stale, key, "left_anti").select(*schema.fieldNames()).unionByName(rows)
-        empty = {b: self._nothing(name, schema, attempt) for b in touched if b in base.tables.get(name, {})}
-        return empty | self._write(name, after, attempt)
+        written = self._write(name, after, attempt)
+        emptied = [b for b in touched if b in base.tables.get(name, {}) and b not in written]
+        return written | (dict.fromkeys(emptied, self._nothing(name, schema, attempt)) if emptied else {})
 
     def _nothing(self, name: str, schema: StructType, attempt: str) -> str:
-        """A folder without rows, for a bucket that a change may leave empty."""
+        """A folder without rows, for buckets that a change leaves empty."""
         path = f"{self.path}/{name}/{attempt}-empty"
         schemas.empty(self.spark, schema).write.mode("overwrite").parquet(path)
         return path
