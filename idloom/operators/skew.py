@@ -99,6 +99,6 @@ def salted(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left"
     most, total = counts.agg(F.max("_n_left"), F.sum("_n_left")).first()
     if (most or 0) <= hot_rows(left):
         return left.join(right, keys, how)
-    hit = right.withColumn("_hit", F.lit(True)).join(counts, keys)
+    hit = right.withColumn("_met", F.lit(True)).join(counts, keys)
     found = attach(left, hit, keys, "_n_left", threshold=max(hot_rows(left), total // _HOT_KEYS)).drop("_n_left")
-    return (found.filter("_hit").select(*left.columns) if how == "left_semi" else found).drop("_hit")
+    return (found.filter("_met").select(*left.columns) if how == "left_semi" else found).drop("_met")
