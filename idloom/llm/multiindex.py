@@ -124,13 +124,15 @@ def near_duplicates(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedd
             at = np.repeat(np.arange(len(n)), n)
             start = np.cumsum(n) - n
             take = pa.array(at)
-            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)], pa.int32()), pa.array(np.concatenate(cells).astype(np.int32)))
             visitor = np.ones(len(at), bool)
             visitor[start] = False
+            # only members are asked which cells they visit
+            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(np.where(visitor, 0, n[at]))], pa.int32()),
+                                             pa.array(np.concatenate(cells).astype(np.int32)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("label").take(take), pa.array(np.concatenate(cells).astype(np.int32)), pa.array(visitor), batch.column("first").take(take),
                  batch.column("n").take(take), pa.array(own[at].astype(np.int32)),
-                 lists.take(take), batch.column("v").take(take)],
+                 lists, batch.column("v").take(take)],
                 names=["label", "cell", "visitor", "first", "n", "own", "visited", "v"])
 
     kind = {f.name: f.dataType.simpleString() for f in classes.schema}
