@@ -25,7 +25,7 @@ ROWS = [(1, 1, 1, "INSERT", "N", "a"), (2, 2, 2, "INSERT", "N", "b"), (3, 1, 3,
 
 @pytest.fixture
 def store(spark, tmp_path):
-    return Store(spark, str(tmp_path / "store"))
+    return Store(spark, str(tmp_path / "store"), buckets=4)
 
 
 def test_commits_are_versions_and_replays_are_skipped(spark, store):
