@@ -3,7 +3,8 @@
 A linear numpy classifier over hashed words and word beginnings is trained from confirmed toxic texts
 and unlabelled texts. The risk of unlabelled texts as negatives also counts the toxic ones among them;
 the class prior takes their share off again, and an estimate that falls below zero is pushed back instead
-of being followed (the non-negative correction), which keeps a flexible model from overfitting.
+of being followed (the non-negative correction), which keeps a flexible model from overfitting. The prior is
+estimated on the unlabelled sample, so it does not matter how rich in toxic rows the labels are.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import re
 import zlib
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +23,10 @@ from idloom.llm.tables import annotate, hashed_sample, retain
 
 #: hashed features (a power of two), and the letters of a word beginning
 FEATURES, BEGINNING = 1 << 17, 5
-#: bounds of the training sample: confirmed positives, unlabelled rows
+#: bounds of the training sample: confirmed positives (and as many confirmed negatives), unlabelled rows
 POSITIVES, UNLABELLED = 4_000, 12_000
+#: prior of the models that only score rows for the estimate of the class prior
+SCORING_PRIOR = 0.1
 #: rounds of full-batch Adam, its step, the weight of the ridge penalty
 ROUNDS, STEP, RIDGE = 150, 0.05, 5e-4
 #: a feature must occur in so many rows, and its share among positives be so many standard errors off its share among all
@@ -56,7 +60,11 @@ class Model:
 
     def score(self, text: str | None) -> float:
         """Estimated probability that the text is toxic; an empty text is scored by the bias alone."""
-        return float(_sigmoid(np.array(self.bias + self.weight[features(text)].sum())))
+        return float(self.scores([features(text)])[0])
+
+    def scores(self, rows: list[np.ndarray]) -> np.ndarray:
+        """The score of each row of features."""
+        return _sigmoid(np.array([self.bias + self.weight[x].sum() for x in rows]))
 
 
 def _telling(in_p: np.ndarray, n_p: int, in_u: np.ndarray, n_u: int) -> np.ndarray:
@@ -69,7 +77,8 @@ def _telling(in_p: np.ndarray, n_p: int, in_u: np.ndarray, n_u: int) -> np.ndarr
 def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, rounds: int = ROUNDS) -> Model:
     """Minimise prior * R_p(+) + max(0, R_u(-) - prior * R_p(-)) for the logistic loss.
 
-    Without positives every score is near zero, without unlabelled rows the prior decides.
+    Without positives every score is near zero, without unlabelled rows the prior decides. The bias stays
+    at or below the prior's log odds: a text without features is no more likely toxic than any other.
     """
     prior = min(max(prior, 1e-6), 1 - 1e-6)
     start = float(np.log(prior / (1 - prior)))
@@ -98,37 +107,70 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
         g[:-1] += RIDGE * w[:-1]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= STEP * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
+        w[-1] = min(w[-1], start)
     return Model(w[:-1], float(w[-1]))
 
 
-def _sample(docs: DataFrame, ids: DataFrame, doc_id: str, text: str) -> list[np.ndarray]:
-    """Features of the documents named by ``ids``, a bounded table of distinct ids."""
+def class_prior(positive: list[np.ndarray], negative: list[np.ndarray], unlabelled: list[np.ndarray]) -> float:
+    """The share of positives among unlabelled rows, whatever their share among labelled ones.
+
+    Scores of unlabelled rows are a mixture of those of positives and negatives, so the means of the three tell
+    the share. Each half of the rows is scored by a model of the other half. Without negatives it is the least
+    ratio of unlabelled to positive rows at or above a score that half of the positives reach, which is an upper bound.
+    """
+    off = span = 0.0
+    bounds = []
+    for half in (0, 1):
+        if not positive[half::2] or not unlabelled[half::2]:
+            continue
+        model = fit(positive[half::2], unlabelled[half::2], SCORING_PRIOR)
+        p, n, u = (model.scores(rows[1 - half::2]) for rows in (positive, negative, unlabelled))
+        if len(p) and len(n) and len(u):
+            off, span = off + u.mean() - n.mean(), span + p.mean() - n.mean()
+        elif len(p) and len(u):
+            cuts = np.unique(p[p <= np.median(p)])
+            bounds.append(min((u >= c).mean() / (p >= c).mean() for c in cuts))
+    if span > 0:
+        return float(np.clip(off / span, 0, 1))
+    if bounds:
+        return float(np.mean(bounds))
+    labelled = len(positive) + len(negative)
+    return len(positive) / labelled if labelled else 0.0  # nothing to compare
+
+
+def _sample(docs: DataFrame, ids: list[DataFrame], doc_id: str, text: str) -> list[list[np.ndarray]]:
+    """Features of the documents named by each of ``ids``, bounded tables of distinct ids, from one scan."""
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(
-                [features(t).astype("<i4").tobytes() for t in batch.column(1).to_pylist()], pa.binary())], names=["f"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(
+                [features(t).astype("<i4").tobytes() for t in batch.column(2).to_pylist()], pa.binary())], names=["kind", "f"])
 
+    asked = reduce(DataFrame.unionAll, [x.select("_id", F.lit(k).alias("_kind")) for k, x in enumerate(ids)])
     found = docs.select(docs[doc_id].alias("_id"), docs[text].cast("string").alias("_text")).join(
-        F.broadcast(ids), "_id").dropDuplicates(["_id"])
-    return [np.frombuffer(r["f"], "<i4").astype(np.int64) for r in found.mapInArrow(run, "f binary").collect()]
+        F.broadcast(asked), "_id").dropDuplicates(["_id", "_kind"]).select("_kind", "_id", "_text")
+    out: list[list[np.ndarray]] = [[] for _ in ids]
+    for r in found.mapInArrow(run, "kind int, f binary").collect():
+        out[r["kind"]].append(np.frombuffer(r["f"], "<i4").astype(np.int64))
+    return out
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str, doc_id: str = "doc_id", text: str = "text",
           positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model:
     """Fit the model on training rows only; the caller leaves held-out rows out of ``docs`` and ``labels``.
 
-    The sample holds at most ``positives`` documents labelled 1 and ``unlabelled`` others taken without a
-    look at any label, each chosen by a hash of the id; both bounds are parameters. The class prior is the share of 1 among
-    all labels that are not null. Repeated ids count once.
+    The sample holds at most ``positives`` documents labelled 1, as many labelled 0, and ``unlabelled`` others taken
+    without a look at any label, each chosen by a hash of the id; both bounds are parameters. The class prior is
+    estimated on the others (``class_prior``); documents labelled 0 serve for nothing else. Repeated ids count once.
     """
     def chosen(ids: DataFrame, seed: int, n: int) -> DataFrame:
         return hashed_sample(ids.filter("_id IS NOT NULL").distinct(), ["_id"], n, seed)
 
     known = labels.select(labels[doc_id].alias("_id"), labels[label].alias("_y"))
-    prior = known.agg(F.avg("_y")).first()[0]
     some = chosen(known.filter("_y = 1").select("_id"), 1, positives)
+    clear = chosen(known.filter("_y = 0").select("_id"), 3, positives)
     others = chosen(docs.select(docs[doc_id].alias("_id")), 2, unlabelled)
-    return fit(_sample(docs, some, doc_id, text), _sample(docs, others, doc_id, text), prior or 0.0)
+    found = _sample(docs, [some, clear, others], doc_id, text)
+    return fit(found[0], found[2], class_prior(*found))
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.3, keep: list[str] | None = None) -> DataFrame:
