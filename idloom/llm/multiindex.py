@@ -97,13 +97,16 @@ def near_duplicates(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedd
 
     Rows whose label is null or whose vector is null, zero, not finite or not of the most common length
     have no links and are kept. Equal vectors of a label are one class with a count; they are linked
-    by definition and never compared. Repeated ids get a row each, and each counts as a vector. Cells of many
+    by definition and never compared; a class has a number of its own, so its ids may be null or on other vectors too.
+    Repeated ids get a row each, and each counts as a vector. A component is named by its least id; the rows
+    of that id and those without an id are kept. Cells of many
     members or visitors are cut into shards, so no task holds more than two of them.
     """
     rows = df.select(df[vec_id].alias("vec_id"), df[vector].alias("v"), df[label].alias("label"))
     good = rows.filter(usable("v") & F.col("label").isNotNull())
     size = common_size(good, "v")
-    classes = cut(good.filter(F.size("v") == size).groupBy("label", "v").agg(F.min("vec_id").alias("first"), F.count("*").alias("n")))
+    classes = cut(good.filter(F.size("v") == size).groupBy("label", "v").agg(F.min("vec_id").alias("least"), F.count("*").alias("n"))
+                  .withColumn("first", F.monotonically_increasing_id()))
     x = sample(classes, "v", size, SAMPLE_ROWS)
     if not len(x) or size < 2:
         # no vectors, or single numbers, which a grid of halves cannot hold
@@ -137,7 +140,7 @@ def near_duplicates(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedd
 
     kind = {f.name: f.dataType.simpleString() for f in classes.schema}
     filed = classes.select("label", "first", "n", "v").mapInArrow(
-        file, f"label {kind['label']}, cell int, visitor boolean, first {kind['first']}, n long, own int, visited array<int>, v {kind['v']}")
+        file, f"label {kind['label']}, cell int, visitor boolean, first long, n long, own int, visited array<int>, v {kind['v']}")
     filed = cut(filed)
     sizes = filed.groupBy("label", "cell").agg(
         F.ceil(F.count(F.when(~F.col("visitor"), 1)) / shard).alias("own_shards"),
@@ -185,11 +188,14 @@ def near_duplicates(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedd
         yield pa.RecordBatch.from_arrays(
             [pa.array(first[on]), pa.array(links[on].astype(np.int64)), pa.array(first[label_[on]])], names=["first", "links", "root"])
 
-    found = cut(by_key(tasks, ["key", "cell", "i", "j"], verify, f"first {kind['first']}, links long, root {kind['first']}"))
+    found = cut(by_key(tasks, ["key", "cell", "i", "j"], verify, "first long, links long, root long"))
     counts = found.groupBy("first").agg(F.sum("links").alias("links"))
     parts = components(found.filter("first <> root"), "first", "root", "first")
-    named = classes.join(counts, "first", "left").join(parts, "first", "left").select(
-        "label", "v", F.col("n"), F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "first").alias("component"))
+    linked = cut(classes.select("first", "least").join(parts, "first"))
+    name = linked.groupBy("component").agg(F.min("least").alias("name"))
+    linked = linked.join(name, "component").select("first", "name", F.lit(True).alias("linked"))
+    named = classes.join(counts, "first", "left").join(linked, "first", "left").select(
+        "label", "v", F.col("n"), F.coalesce("links", F.lit(0)).alias("links"), F.when(F.col("linked"), F.col("name")).otherwise(F.col("least")).alias("component"))
     keyed = rows.withColumn("ok", usable("v") & F.col("label").isNotNull())
     out = keyed.filter("ok").join(named, ["label", "v"], "left").unionByName(keyed.filter("NOT ok"), allowMissingColumns=True)
     return out.select(
