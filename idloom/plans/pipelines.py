@@ -32,10 +32,25 @@ def content_id(name: str, *inputs: DataFrame) -> str:
     return "-".join([name, *(f"{n}:{h or 0}" for n, h in marks)])
 
 
-def _commit(store: Store, batch_id: str, build: Callable[[Snapshot], Parts]) -> Resolution:
-    """Build and commit on the newest version, again if another writer was faster; what the batch wrote."""
+def _run_id(base: Snapshot, content: str, again: Callable[[Snapshot, str], bool]) -> str:
+    """The batch id of a load without a given one: that of its last run, or a new one if ``again`` asks for it
+    and other batches have been committed since."""
+    runs = [b for b in base.attempts if b == content or b.startswith(f"{content}@")]
+    if not runs:
+        return content
+    return f"{content}@{base.version}" if runs[-1] != list(base.attempts)[-1] and again(base, runs[-1]) else runs[-1]
+
+
+def _commit(store: Store, batch_id: str, build: Callable[[Snapshot], Parts], again: Callable[[Snapshot, str], bool] | None = None) -> Resolution:
+    """Build and commit on the newest version, again if another writer was faster; what the batch wrote.
+
+    With ``again`` the id names only the content, see ``_run_id``.
+    """
+    content = batch_id
     while True:
         base = store.snapshot()
+        if again:
+            batch_id = _run_id(base, content, again)
         if batch_id in base.attempts:
             break
         with temporary(store.spark):
@@ -63,7 +78,8 @@ def pipeline_initial_load(inputs: dict[str, DataFrame], store: Store, as_of, las
     """Full load of source B (``clients``): known keys are skipped, so it resumes by itself; ``last_id``
     narrows the scan to later keys. The commit also holds the watermark and a status row that says whether the load is complete.
 
-    ``batch_id`` defaults to one made of the loaded rows.
+    ``batch_id`` defaults to one made of the loaded rows. A load of the same rows runs again if the last one had
+    rejects and the store has changed since, as they may go in now.
     """
     everything = source_b.scan_source_b(inputs["clients"])
     clients = inputs["clients"] if last_id is None else inputs["clients"].filter(F.col("pcode") > last_id)
@@ -83,7 +99,8 @@ def pipeline_initial_load(inputs: dict[str, DataFrame], store: Store, as_of, las
         return {"det": Change(rows), "patients": Change(out.touched), "matching_log": out.log, "rejects": refused,
                 "control": Change(watermark_state(base.read("control"), seen, as_of)), "status": status}
 
-    return _commit(store, batch_id or content_id("initial-b", scanned), build)
+    again = None if batch_id else lambda base, last: not base.of_batch("rejects", last).isEmpty()
+    return _commit(store, batch_id or content_id("initial-b", scanned), build, again)
 
 
 def apply_batch(good: DataFrame, base: Snapshot, as_of) -> tuple[Parts, DataFrame]:
@@ -115,6 +132,8 @@ def pipeline_sync_a(inputs: dict[str, DataFrame], store: Store, as_of, batch_id:
     with ``changed`` they are taken again if their record differs from the stored one.
 
     The processed set is part of the commit and includes the rejects, which would come back for ever otherwise.
+    ``batch_id`` defaults to one made of the inputs and options; with ``changed`` the same export runs again
+    once the store has changed since, as it may go back to an earlier content.
     """
     def build(base: Snapshot) -> Parts:
         parsed = cut(source_a.build_source_a_record(source_a.parse_source_a(inputs["lines"], numbered=numbered)))
@@ -136,7 +155,11 @@ def pipeline_sync_a(inputs: dict[str, DataFrame], store: Store, as_of, batch_id:
         state = _synced(base, source_a.SOURCE_ID, as_of)
         return parts | {"rejects": _rejected(rejects, refused), "processed": Change(new_ids), "control": Change(state)}
 
-    return _commit(store, batch_id or content_id("sync-a", inputs["lines"]), build)
+    if batch_id:
+        return _commit(store, batch_id, build)
+    name = "-".join(["sync-a", *["numbered"] * numbered, *["changed"] * changed])
+    used = [inputs["lines"], *([inputs["processed"].select("hisnumber")] if "processed" in inputs else [])]
+    return _commit(store, content_id(name, *used), build, lambda base, last: changed)
 
 
 def _synced(base: Snapshot, source: int, as_of) -> DataFrame:
