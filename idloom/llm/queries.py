@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from idloom.llm import codec, hashing, langid, multiindex, packing, quality, simhash, tables, toxicity, urlfilter, warc
+from idloom.llm import codec, hashing, langid, multiindex, packing, quality, sharding, simhash, tables, toxicity, urlfilter, warc
 from idloom.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,6 +123,11 @@ def op10_quality_fourier(spark, sf_dir):
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+@query
+def op11_rendezvous_shards(spark, sf_dir):
+    return sharding.shard(table(spark, sf_dir, "documents"), shards=16)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
