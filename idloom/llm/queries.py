@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from idloom.llm import codec, hashing, langid, multiindex, packing, quality, sharding, simhash, tables, toxicity, urlfilter, warc
+from idloom.llm import codec, collocations, hashing, langid, multiindex, packing, quality, sharding, simhash, tables, toxicity, urlfilter, warc
 from idloom.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,6 +128,42 @@ def op11_rendezvous_shards(spark, sf_dir):
     return sharding.shard(table(spark, sf_dir, "documents"), shards=16)
 
 
+@query
+def op13_collocations(spark, sf_dir):
+    return collocations.mine(table(spark, sf_dir, "documents"), top=2000, least=10, share=50)
+
+
+#: the same definitions, counting every bigram and trigram
+ORACLE["op13_collocations"] = """
+    WITH w AS (
+        SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS ws
+        FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\f\r]')) AS piece
+            FROM documents)),
+    n AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+    c1 AS (SELECT lang, g AS phrase, count(*) AS f FROM (SELECT lang, unnest(ws) AS g FROM w) GROUP BY ALL),
+    c2 AS (SELECT lang, g AS phrase, count(*) AS f FROM (SELECT lang, unnest(list_transform(range(1, len(ws)),
+            lambda i: ws[i] || ' ' || ws[i + 1])) AS g FROM w) GROUP BY ALL HAVING count(*) >= 10),
+    c3 AS (SELECT lang, g AS phrase, count(*) AS f, split_part(g, ' ', 1) || ' ' || split_part(g, ' ', 2) AS pre,
+            split_part(g, ' ', 2) || ' ' || split_part(g, ' ', 3) AS suf FROM (SELECT lang, unnest(list_transform(range(1, len(ws) - 1),
+            lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) AS g FROM w) GROUP BY ALL HAVING count(*) >= 10),
+    t AS (SELECT c3.lang, c3.phrase, c3.f AS a, x.f AS fx, yz.f AS fyz, xy.f AS fxy, z.f AS fz,
+            (1000000 * c3.f::HUGEINT * c3.f) // (x.f::HUGEINT * yz.f) AS s1, (1000000 * c3.f::HUGEINT * c3.f) // (xy.f::HUGEINT * z.f) AS s2
+          FROM c3 JOIN c1 x ON x.lang = c3.lang AND x.phrase = split_part(c3.phrase, ' ', 1)
+          JOIN c1 z ON z.lang = c3.lang AND z.phrase = split_part(c3.phrase, ' ', 3)
+          JOIN c2 xy ON xy.lang = c3.lang AND xy.phrase = c3.pre JOIN c2 yz ON yz.lang = c3.lang AND yz.phrase = c3.suf),
+    b AS (SELECT c2.lang, c2.phrase, c2.f AS a, x.f AS l, y.f AS r, (1000000 * c2.f::HUGEINT * c2.f) // (x.f::HUGEINT * y.f) AS score
+          FROM c2 JOIN c1 x ON x.lang = c2.lang AND x.phrase = split_part(c2.phrase, ' ', 1)
+          JOIN c1 y ON y.lang = c2.lang AND y.phrase = split_part(c2.phrase, ' ', 2)
+          WHERE NOT EXISTS (SELECT 1 FROM c3 WHERE c3.lang = c2.lang AND 100 * c3.f >= 50 * c2.f
+              AND (c3.pre = c2.phrase OR c3.suf = c2.phrase))),
+    s AS (SELECT lang, phrase, a, l, r, score FROM b
+          UNION ALL SELECT lang, phrase, a, CASE WHEN s2 < s1 THEN fxy ELSE fx END, CASE WHEN s2 < s1 THEN fz ELSE fyz END, least(s1, s2) FROM t)
+    SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM (
+        SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM s) JOIN n USING (lang)
+    WHERE rank <= 2000"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
