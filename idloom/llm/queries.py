@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from idloom.llm import codec, collocations, hashing, langid, multiindex, packing, quality, sharding, simhash, tables, toxicity, urlfilter, warc
+from idloom.llm import codec, collocations, hashing, langid, multiindex, packing, periodic, quality, sharding, simhash, tables, toxicity, urlfilter, warc
 from idloom.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,6 +128,12 @@ def op11_rendezvous_shards(spark, sf_dir):
     return sharding.shard(table(spark, sf_dir, "documents"), shards=16)
 
 
+@query
+def op12_periodic_runs(spark, sf_dir):
+    return periodic.detect(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256", "n_words")
+
+
 @query
 def op13_collocations(spark, sf_dir):
     return collocations.mine(table(spark, sf_dir, "documents"), top=2000, least=10, share=50)
