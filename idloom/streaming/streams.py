@@ -17,6 +17,7 @@ from idloom.plans.pipelines import pipeline_delta_b
 from idloom.session import temporary
 from idloom.sources.source_b import delta_latest
 from idloom.sources.store import Change, CommitConflict, Snapshot, Store
+from idloom.streaming.state import newest_changes
 
 
 def _batches(stream: DataFrame, store: Store, checkpoint: str, name: str, apply: Callable[[DataFrame, str], None]) -> StreamingQuery:
@@ -46,15 +47,20 @@ def stream_delta_apply(stream: DataFrame, store: Store, checkpoint: str, as_of,
 
 
 def stream_latest_state(stream: DataFrame, store: Store, checkpoint: str, order: tuple[str, ...] = ("change_time", "seq"),
-                        name: str = "latest") -> StreamingQuery:
-    """Keep the newest change of each key in the table ``changes``; a micro-batch writes only the buckets of its keys."""
+                        name: str = "latest", idle_ms: int = 24 * 3600 * 1000) -> StreamingQuery:
+    """Keep the newest change of each key in the table ``changes``.
+
+    The newest change per key is kept in streaming state (``state.newest_changes``), so a micro-batch passes on only
+    the changes that are newer than what its keys held; the commit writes only the buckets of those keys and keeps
+    the newer of stored and arriving rows, so a key whose state ended while idle is still right when it returns.
+    """
     def apply(batch: DataFrame, batch_id: str) -> None:
         def change(base: Snapshot) -> dict[str, Change]:
             last = delta_latest(batch, "pcode", order)
             held = base.around("changes", last).join(last.select("pcode"), "pcode", "left_semi")
             return {"changes": Change(delta_latest(last.select(*held.columns).unionByName(held), "pcode", order))}
         _merged(store, batch_id, change)
-    return _batches(stream, store, checkpoint, name, apply)
+    return _batches(newest_changes(stream, "pcode", order, idle_ms), store, checkpoint, name, apply)
 
 
 def stream_dedup(stream: DataFrame, store: Store, checkpoint: str, name: str = "dedup") -> StreamingQuery:

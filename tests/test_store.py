@@ -245,3 +245,14 @@ def test_stream_apply_in_order_equals_one_batch(spark, tmp_path):
     assert plain(many.read("det"), schemas.DET) == plain(one.read("det"), schemas.DET)
     untyped = [s.read("patients").withColumn("documenttypes", F.lit(None)) for s in (one, many)]
     assert plain(untyped[0]) == plain(untyped[1])
+
+
+def test_latest_state_expired_key_that_returns(spark, tmp_path, store):
+    """An old change of a key delivered after a newer one, in a later micro-batch, leaves the newer one."""
+    new = changes(spark, [(10, 1, 50, "UPDATE", "N", "new"), (11, 2, 5, "UPDATE", "N", "b"), (12, None, 5, "UPDATE", "N", "n")])
+    old = changes(spark, [(3, 1, 1, "UPDATE", "N", "old"), (13, 2, 9, "UPDATE", "N", "b2"), (4, None, 1, "UPDATE", "N", "n0")])
+    new.coalesce(1).write.parquet(str(tmp_path / "in"))
+    ST.stream_latest_state(stream_of(spark, str(tmp_path / "in")), store, str(tmp_path / "cp"), idle_ms=1).awaitTermination()
+    old.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    ST.stream_latest_state(stream_of(spark, str(tmp_path / "in")), store, str(tmp_path / "cp"), idle_ms=1).awaitTermination()
+    assert plain(store.read("changes"), schemas.DELTA) == plain(source_b.delta_latest(new.unionByName(old)), schemas.DELTA)
