@@ -151,26 +151,27 @@ def runs_of_slice(docs: list[list[str]]) -> list[list[tuple[int, int, int]]]:
     lengths = np.array([len(x) for x in ids], np.int64)
     base = np.array(base, np.int64)
     grammar = Grammar(seq)
-    found: list[tuple[np.ndarray, ...]] = []
+    grid: list[tuple[np.ndarray, ...]] = []
     for q in range(1, int(lengths.max(initial=0)) // 2 + 1):
         who = np.flatnonzero(lengths >= 2 * q)
         if not who.size:
             break
         per = (lengths[who] - q - 1) // q + 1
         doc = np.repeat(who, per)
-        j = np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
-        i = j * q
+        i = (np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)) * q
         pos = base[doc] + i
         same = seq[pos] == seq[pos + q]
-        if not same.any():
-            continue
-        doc, i, pos = doc[same], i[same], pos[same]
-        ahead = grammar.lce(pos, pos + q)
-        behind = grammar.lce(pos - 1, pos + q - 1, backwards=True)
-        length = ahead + behind + q
-        ok = length >= max(LEAST, 2 * q)
-        if ok.any():
-            found.append((doc[ok], (i - behind)[ok], length[ok], np.full(int(ok.sum()), q)))
+        if same.any():
+            grid.append((doc[same], i[same], pos[same], np.full(int(same.sum()), q)))
+    found: list[tuple[np.ndarray, ...]] = []
+    if grid:
+        # all periods' candidates at once: one walk of the grammar for the whole slice
+        doc, i, pos, period = (np.concatenate(c) for c in zip(*grid))
+        ahead = grammar.lce(pos, pos + period)
+        behind = grammar.lce(pos - 1, pos + period - 1, backwards=True)
+        length = ahead + behind + period
+        ok = length >= np.maximum(LEAST, 2 * period)
+        found.append((doc[ok], (i - behind)[ok], length[ok], period[ok]))
     out: list[list[tuple[int, int, int]]] = [[] for _ in docs]
     if found:
         doc, start, length, period = (np.concatenate(c) for c in zip(*found))
