@@ -115,7 +115,8 @@ def similar_ids(requests: DataFrame, ids: DataFrame, k: int = 20) -> DataFrame:
     named = ids.select(F.col("hisnumber").alias("id")).distinct()
     pieces = named.select("id", F.explode(parts).alias("p")).select("id", "p.n", "p.gram").join(
         F.broadcast(asked.select("n").distinct()), "n", "left_semi")
-    hits = pieces.join(asked, ["n", "gram"]).filter(F.contains("id", "pattern"))
+    # a size estimate knows nothing of the explode, by which the pieces outgrow any broadcast
+    hits = pieces.hint("merge").join(asked, ["n", "gram"]).filter(F.contains("id", "pattern"))
     # the row number filter keeps k rows of a pattern per map task already
     top = hits.withColumn("rank", F.row_number().over(Window.partitionBy("pattern").orderBy("id"))).filter(F.col("rank") <= k)
     return patterns.join(top, "pattern").select("hisnumber", "pattern", F.col("id").alias("similar_id"), "rank")

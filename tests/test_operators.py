@@ -1,6 +1,7 @@
 """Joins under skew, registration, lookups, constraints, statistics: small cases and brute force."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -98,6 +99,15 @@ def test_similar_ids(spark):
     assert J.similar_ids(asked.filter("false"), ids).count() == 0
 
 
+def test_similar_ids_broadcasts_no_pieces(spark):
+    ids = spark.createDataFrame([(f"{i}/A{i % 3}",) for i in range(300)], "hisnumber string")
+    asked = spark.createDataFrame([("12/A1",), ("7",)], "hisnumber string")
+    found = J.similar_ids(asked, ids)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"SortMergeJoin \[n#\d+, gram#\d+\]", plan) and not re.search(r"BroadcastHashJoin \[n#\d+, gram#\d+\]", plan)
+
+
 def test_unique_keys_fold_copies(spark, hot):
     df = spark.createDataFrame([("a", 1)] * 5 + [("a", 2)] * 3 + [("b", 1)] + [(None, 1)] * 4, "k string, v int")
     got = {(r.k, r.v): (r.n_kept, r.n_rejected) for r in Q.check_unique_keys(df, ["k"]).collect()}
