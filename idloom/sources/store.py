@@ -181,7 +181,7 @@ class Store:
         held = [f for b, f in base.tables.get(name, {}).items() if b in touched]
         after = rows
         if held:
-            after = self.spark.read.schema(schema).parquet(*held).join(stale, key, "left_anti").select(*schema.fieldNames()).unionByName(rows)
+            after = without(self.spark.read.schema(schema).parquet(*held), stale, key).select(*schema.fieldNames()).unionByName(rows)
         written = self._write(name, after, attempt)
         emptied = [b for b in touched if b in base.tables.get(name, {}) and b not in written]
         return written | (dict.fromkeys(emptied, self._nothing(name, schema, attempt)) if emptied else {})
@@ -223,6 +223,12 @@ class Store:
         return removed
 
 
+def without(df: DataFrame, keys: DataFrame, key: list[str], how: str = "left_anti") -> DataFrame:
+    """The rows whose key is not among ``keys`` (``left_semi``: is); a null key is a key like any other."""
+    named = keys.select(*[F.col(k).alias(f"_is_{k}") for k in key])
+    return df.join(named, [F.col(k).eqNullSafe(F.col(f"_is_{k}")) for k in key], how)
+
+
 def split_known(batch: DataFrame, det: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Batch rows whose key is stored already, and the others. The stored keys are reduced to those of
     the batch first, so a small batch only scans them."""

@@ -1,82 +1,32 @@
 """Keyed streaming state: the newest change of each key, held in the state store between micro-batches.
 
-``newest_changes`` groups a change stream by key and runs ``Newest`` on each group with ``transformWithStateInPandas``
-over the RocksDB state store. A key's state is the newest change seen for it, by the order columns, descending, nulls
-last; a micro-batch emits a row for a key only when it brings a newer change. State is kept for every key seen, in
-RocksDB on the executors' disks and in the checkpoint. Idle keys are not ended: with processing-time timers, and
-also with a processing-time TTL on the state, a query triggered ``availableNow`` never ended on Spark 4.1 (it kept
-running empty batches), so ``idle_ms`` is accepted and not used until that works.
+``newest_changes`` groups a change stream by key and keeps the newest change seen for it, by the order columns, as a
+built-in streaming aggregate (``max_by``, update mode) over the RocksDB state store. The changes of a micro-batch are
+combined per key before the shuffle, so a key with very many changes sends one row per task, and no row passes
+through Python. State is kept for every key seen, in RocksDB on the executors' disks and in the checkpoint. Idle keys
+are not ended (an aggregate ends keys only behind a watermark on the grouping, and no row is too late here), so
+``idle_ms`` is accepted and not used.
 
-The rows emitted are newer than anything the state knew, not necessarily newer than what a sink already holds: a
-key whose state has expired starts afresh, and its first late change is emitted even if an earlier micro-batch
-wrote a newer one. Sinks therefore keep the newer of what they hold and what arrives, which makes expiry safe.
+A micro-batch emits one row for each of its keys, the newest one the state knows. A fresh checkpoint starts with empty
+state, so that row is not necessarily newer than what a sink holds: sinks keep the newer of what they hold and what arrives.
 
-A null key is a key of its own (grouped by null-ness and value). Ties in the order keep the row that was there first.
+A null in the order is older than any value. A null key is a key of its own.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructType
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
-def _plain(value):
-    """A pandas or numpy value as the Python value the state store takes."""
-    if value is None or value is pd.NaT or (isinstance(value, float) and math.isnan(value)):
-        return None
-    if isinstance(value, pd.Timestamp):
-        return value.to_pydatetime()
-    return value.item() if hasattr(value, "item") else value
-
-
-def _rank(row: dict, order: tuple[str, ...]) -> tuple:
-    """Greater is newer; a null is older than any value."""
-    return tuple((row[c] is not None, row[c]) if row[c] is not None else (False, 0) for c in order)
-
-
-class Newest(StatefulProcessor):
-    """Per key the newest row by ``order``; forgotten after ``idle_ms`` without rows."""
-
-    def __init__(self, schema: StructType, order: tuple[str, ...], idle_ms: int):
-        self.schema, self.order, self.idle_ms = schema, order, idle_ms
-        self.names = [f.name for f in schema.fields]
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.newest = handle.getValueState("newest", self.schema)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        held = dict(zip(self.names, self.newest.get())) if self.newest.exists() else None
-        best = held
-        for frame in rows:
-            for record in frame[self.names].to_dict("records"):
-                record = {c: _plain(v) for c, v in record.items()}
-                if best is None or _rank(record, self.order) > _rank(best, self.order):
-                    best = record
-        if best is not held:
-            self.newest.update(tuple(best[c] for c in self.names))
-            yield pd.DataFrame([best], columns=self.names)
-
-    def close(self) -> None:
-        pass
-
-
 def newest_changes(stream: DataFrame, key: str = "pcode", order: tuple[str, ...] = ("change_time", "seq"),
                    idle_ms: int = 24 * 3600 * 1000) -> DataFrame:
-    """The rows of ``stream`` that are newer than every earlier row of their key still in state."""
+    """For each key of a micro-batch the newest row of ``stream`` so far."""
     spark = stream.sparkSession
     if spark.conf.get(PROVIDER, "") != ROCKSDB:
         spark.conf.set(PROVIDER, ROCKSDB)
-    schema = stream.schema
-    keyed = stream.withColumn("_none", F.col(key).isNull()).withColumn("_key", F.coalesce(F.col(key), F.lit(0).cast(schema[key].dataType)))
-    return (keyed.groupBy("_none", "_key")
-            .transformWithStateInPandas(Newest(schema, order, idle_ms), schema, "Update", "None"))
+    newest = F.max_by(F.struct(*stream.columns), F.struct(*order)).alias("_newest")
+    return stream.groupBy(F.col(key).alias("_key")).agg(newest).select("_newest.*")

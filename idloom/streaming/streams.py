@@ -14,18 +14,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from idloom.plans.pipelines import pipeline_delta_b
-from idloom.session import temporary
+from idloom.session import cut, temporary
 from idloom.sources.source_b import delta_latest
-from idloom.sources.store import Change, CommitConflict, Snapshot, Store
+from idloom.sources.store import Change, CommitConflict, Snapshot, Store, without
 from idloom.streaming.state import newest_changes
 
 
-def _batches(stream: DataFrame, store: Store, checkpoint: str, name: str, apply: Callable[[DataFrame, str], None]) -> StreamingQuery:
+def _batches(stream: DataFrame, store: Store, checkpoint: str, name: str, apply: Callable[[DataFrame, str], None],
+             mode: str = "append") -> StreamingQuery:
     """Run ``apply`` on each micro-batch with its batch id, until all that is there is read."""
     def each(batch: DataFrame, number: int) -> None:
         query = store.spark.read.json(f"{checkpoint}/metadata").first()["id"]
         apply(batch, f"{name}-{query}-{number}")
-    return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream.writeStream.foreachBatch(each).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def _merged(store: Store, batch_id: str, change: Callable[[Snapshot], dict[str, Change]]) -> None:
@@ -50,17 +51,18 @@ def stream_latest_state(stream: DataFrame, store: Store, checkpoint: str, order:
                         name: str = "latest", idle_ms: int = 24 * 3600 * 1000) -> StreamingQuery:
     """Keep the newest change of each key in the table ``changes``.
 
-    The newest change per key is kept in streaming state (``state.newest_changes``), so a micro-batch passes on only
-    the changes that are newer than what its keys held; the commit writes only the buckets of those keys and keeps
-    the newer of stored and arriving rows, so a key whose state ended while idle is still right when it returns.
+    The newest change per key is kept in streaming state (``state.newest_changes``), so a micro-batch passes on one row
+    for each of its keys; the commit writes only the buckets of those keys and keeps the newer of stored and arriving
+    rows, so a key that starts afresh is still right.
     """
     def apply(batch: DataFrame, batch_id: str) -> None:
         def change(base: Snapshot) -> dict[str, Change]:
-            last = delta_latest(batch, "pcode", order)
-            held = base.around("changes", last).join(last.select("pcode"), "pcode", "left_semi")
+            # staged once: each action on a micro-batch would run its stateful stage again
+            last = cut(delta_latest(batch, "pcode", order))
+            held = without(base.around("changes", last), last, ["pcode"], "left_semi")
             return {"changes": Change(delta_latest(last.select(*held.columns).unionByName(held), "pcode", order))}
         _merged(store, batch_id, change)
-    return _batches(newest_changes(stream, "pcode", order, idle_ms), store, checkpoint, name, apply)
+    return _batches(newest_changes(stream, "pcode", order, idle_ms), store, checkpoint, name, apply, "update")
 
 
 def stream_dedup(stream: DataFrame, store: Store, checkpoint: str, name: str = "dedup") -> StreamingQuery:

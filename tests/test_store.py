@@ -9,6 +9,7 @@ from idloom.plans import pipelines as P
 from idloom.sources import source_b
 from idloom.sources.store import Change, CommitConflict, Store
 from idloom.streaming import streams as ST
+from idloom.streaming.state import newest_changes
 
 DELTA = schemas.DELTA.simpleString()[len("struct<"):-1].replace(":", " ")
 
@@ -256,3 +257,17 @@ def test_latest_state_expired_key_that_returns(spark, tmp_path, store):
     old.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     ST.stream_latest_state(stream_of(spark, str(tmp_path / "in")), store, str(tmp_path / "cp"), idle_ms=1).awaitTermination()
     assert plain(store.read("changes"), schemas.DELTA) == plain(source_b.delta_latest(new.unionByName(old)), schemas.DELTA)
+
+
+def test_latest_state_runs_without_python_and_keeps_known_times(spark, tmp_path, store):
+    """The state is a built-in aggregate; a change without a time is older than any other, whenever it comes."""
+    first = changes(spark, [(1, 1, 5, "UPDATE", "N", "a"), (2, 2, 5, "UPDATE", "N", "b")])
+    later = first.withColumns({"change_time": F.when(F.col("pcode") == 2, F.lit("2030-01-01 00:00:00")).cast("timestamp_ntz"), "seq": F.col("seq") + 10})
+    first.coalesce(1).write.parquet(str(tmp_path / "in"))
+    later.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = stream_of(spark, str(tmp_path / "in"))
+    plan = newest_changes(stream)._jdf.queryExecution().analyzed().toString()
+    assert "max_by" in plan and "InP" not in plan
+    ST.stream_latest_state(stream, store, str(tmp_path / "cp")).awaitTermination()
+    assert plain(store.read("changes"), schemas.DELTA) == plain(source_b.delta_latest(first.unionByName(later)), schemas.DELTA)
+    assert {r.seq for r in store.read("changes").collect()} == {1, 12}
