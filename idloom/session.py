@@ -88,9 +88,26 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_BROADCAST = "spark.sql.autoBroadcastJoinThreshold"
+#: largest size, as Spark estimates it, of a join side that is broadcast without a hint
+BROADCAST_BYTES = 1 << 20
+
+
+def _bound_broadcasts(spark: SparkSession) -> None:
+    """Keep Spark's own choice of broadcasts to small sides.
+
+    The size it goes by is that of compressed files or shuffle blocks; uuids and other hashes take 16 times as much
+    in memory, and each such side passes through the driver.
+    """
+    now = int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    if now > BROADCAST_BYTES:
+        spark.conf.set(_BROADCAST, str(BROADCAST_BYTES))
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Settings the operators count on, for a session that was built elsewhere."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    _bound_broadcasts(spark)
     # call-site capture for every Column expression; it costs more than analysing the plans here
     if spark.conf.get(_DEBUGGING, "true") == "true" and spark.conf.isModifiable(_DEBUGGING):
         spark.conf.set(_DEBUGGING, "false")
