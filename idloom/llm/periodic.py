@@ -13,8 +13,9 @@ same over the symbols that end at both positions. Because the parse of equal str
 a long extension takes a number of steps in the order of the levels, not of its length.
 
 Candidates come from the harmonic grid: for each period q, the positions 0, q, 2q, ... whose word equals the word q
-further. From each, LCE forwards from (i, i + q) and backwards from (i - 1, i + q - 1) give the whole stretch of
-period q around it; a stretch of length >= max(12, 2q) is a run. A run found under several periods is kept under
+further, as do the next three words or the three before it. LCE forwards from (i, i + q) and backwards from
+(i - 1, i + q - 1) give the whole stretch of period q around it; of candidates one period apart the first is asked
+first, and those that its stretch holds are not asked. A stretch of length >= max(12, 2q) is a run. A run found under several periods is kept under
 the least, which is its smallest period. Words of a run after its first q are dropped from the collapsed text.
 
 Edge cases: a null text has no words (n_runs 0, four nulls, hashes of the empty text). A null doc_id counts as the
@@ -38,6 +39,11 @@ from idloom.llm.tables import slices
 # fixed values of the contract: word pattern, least run length
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LEAST = 12
+#: a run of period q repeats at least max(12 - q, q) >= 6 words in a row, so of those around a grid position at least
+#: AHEAD from it on or BEHIND before it; other candidates are not asked of the grammar
+AHEAD, BEHIND = 4, 3
+#: about so many grid positions are compared at a time
+GRID = 1 << 20
 #: bytes of text per grammar
 SLICE_BYTES = 1 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -59,6 +65,11 @@ def words_of(doc_id: int | None, text: str | None) -> list[str]:
     return words
 
 
+def _codes(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Number of each pair (x, y): equal pairs have equal numbers, from 0 without gaps. Both hold numbers below 2^31."""
+    return np.unique(x << np.int64(32) | y, return_inverse=True)[1].ravel()
+
+
 class Grammar:
     """A run-length grammar of ``seq`` by recompression, with LCE queries over it."""
 
@@ -75,8 +86,8 @@ class Grammar:
                 count = np.diff(np.r_[first, len(syms)])
                 block = syms[first].copy()
                 many = count > 1
-                _, code = np.unique(np.stack([block[many], count[many]], axis=1), axis=0, return_inverse=True)
-                block[many] = fresh + code.ravel()
+                code = _codes(block[many], count[many])
+                block[many] = fresh + code
                 fresh += int(code.max()) + 1 if len(code) else 0
                 starts, syms = starts[first], block
                 levels.append((starts, syms))
@@ -84,33 +95,40 @@ class Grammar:
             join = np.flatnonzero((side[:-1] == 1) & (side[1:] == 0))
             turn += 1
             if len(join):
-                _, code = np.unique(np.stack([syms[join], syms[join + 1]], axis=1), axis=0, return_inverse=True)
+                code = _codes(syms[join], syms[join + 1])
                 merged = syms.copy()
-                merged[join] = fresh + code.ravel()
+                merged[join] = fresh + code
                 fresh += int(code.max()) + 1
                 keep = np.ones(len(syms), bool)
                 keep[join + 1] = False
                 starts, syms = starts[keep], merged[keep]
                 levels.append((starts, syms))
         self.top = len(levels) - 1
-        span = n + 2
         lens = [np.diff(np.r_[s, n]) for s, _ in levels]
-        self.start_key = np.concatenate([lv * span + s + 1 for lv, (s, _) in enumerate(levels)])
-        self.end_key = np.concatenate([lv * span + s + ln for lv, ((s, _), ln) in enumerate(zip(levels, lens))])
-        self.sym = np.concatenate([y for _, y in levels])
-        self.len = np.concatenate(lens)
-        self.span = span
-
-    def _at(self, keys: np.ndarray, level: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(symbol, length) of the symbol of ``level`` keyed at ``pos`` (start or end), else (-1, 0)."""
-        q = level * self.span + pos + 1
-        i = np.minimum(np.searchsorted(keys, q), len(keys) - 1)
-        hit = (keys[i] == q) & (pos >= 0) & (pos < self.n)
-        return np.where(hit, self.sym[i], -1), np.where(hit, self.len[i], 0)
+        self.starting = self._by_position([s for s, _ in levels], [y for _, y in levels], lens)
+        self.ending = self._by_position([s + ln - 1 for (s, _), ln in zip(levels, lens)], [y for _, y in levels], lens)
+
+    def _by_position(self, at: list[np.ndarray], syms: list[np.ndarray], lens: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+        """(first entry, number of levels, symbols, lengths) of the symbols at each position, by position, then level.
+
+        A position that bounds a symbol bounds one on every lower level, so its levels are 0, 1, ... without gaps.
+        """
+        pos = np.concatenate(at)
+        order = np.argsort(pos, kind="stable")
+        count = np.bincount(pos, minlength=self.n)
+        return np.cumsum(count) - count, count, np.concatenate(syms)[order], np.concatenate(lens)[order]
+
+    def _at(self, table: tuple[np.ndarray, ...], level: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(symbol, length) of the symbol of ``level`` that starts or ends at ``pos``, else (-1, 0)."""
+        first, count, sym, length = table
+        p = np.clip(pos, 0, self.n - 1)
+        hit = (level < count[p]) & (pos == p)
+        i = np.where(hit, first[p] + level, 0)
+        return np.where(hit, sym[i], -1), np.where(hit, length[i], 0)
 
     def lce(self, a: np.ndarray, b: np.ndarray, backwards: bool = False) -> np.ndarray:
         """Number of equal words from a and b on (leftwards from them, if ``backwards``)."""
-        keys = self.end_key if backwards else self.start_key
+        keys = self.ending if backwards else self.starting
         step = -1 if backwards else 1
         a, b = a.astype(np.int64).copy(), b.astype(np.int64).copy()
         out = np.zeros(len(a), np.int64)
@@ -136,6 +154,35 @@ class Grammar:
         return out
 
 
+def _grid(seq: np.ndarray, base: np.ndarray, lengths: np.ndarray):
+    """Candidates (document, word, position, period) of the harmonic grid, by document, period and word, in bounded parts.
+
+    Separators differ from everything, so no comparison that counts leaves the document.
+    """
+    half, last = lengths // 2, len(seq) - 1
+    many = np.cumsum(half) // GRID
+    for docs in np.split(np.arange(len(lengths)), np.flatnonzero(np.diff(many)) + 1):
+        who = np.repeat(docs, half[docs])
+        period = np.arange(len(who)) - np.repeat(np.cumsum(half[docs]) - half[docs], half[docs]) + 1
+        per = (lengths[who] - period - 1) // period + 1
+        block = np.cumsum(per) // GRID
+        for some in np.split(np.arange(len(who)), np.flatnonzero(np.diff(block)) + 1):
+            n = per[some]
+            pair = np.repeat(some, n)
+            q = period[pair]
+            i = (np.arange(len(pair)) - np.repeat(np.cumsum(n) - n, n)) * q
+            pos = base[who[pair]] + i
+            same = np.flatnonzero(seq[pos] == seq[pos + q])
+            here, there = pos[same], (pos + q)[same]
+            ahead, behind = np.ones(len(same), bool), np.ones(len(same), bool)
+            for d in range(1, AHEAD):
+                ahead &= seq[np.minimum(here + d, last)] == seq[np.minimum(there + d, last)]
+            for d in range(1, BEHIND + 1):
+                behind &= seq[np.maximum(here - d, 0)] == seq[np.maximum(there - d, 0)]
+            same = same[ahead | behind]
+            yield who[pair[same]], i[same], pos[same], q[same]
+
+
 def runs_of_slice(docs: list[list[str]]) -> list[list[tuple[int, int, int]]]:
     """For each document (its words), its runs (start, length, period) by start, then period."""
     vocab: dict[str, int] = {}
@@ -150,28 +197,25 @@ def runs_of_slice(docs: list[list[str]]) -> list[list[tuple[int, int, int]]]:
     seq = np.concatenate(parts)
     lengths = np.array([len(x) for x in ids], np.int64)
     base = np.array(base, np.int64)
-    grammar = Grammar(seq)
-    grid: list[tuple[np.ndarray, ...]] = []
-    for q in range(1, int(lengths.max(initial=0)) // 2 + 1):
-        who = np.flatnonzero(lengths >= 2 * q)
-        if not who.size:
-            break
-        per = (lengths[who] - q - 1) // q + 1
-        doc = np.repeat(who, per)
-        i = (np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)) * q
-        pos = base[doc] + i
-        same = seq[pos] == seq[pos + q]
-        if same.any():
-            grid.append((doc[same], i[same], pos[same], np.full(int(same.sum()), q)))
+    grid = [c for c in _grid(seq, base, lengths) if len(c[0])]
     found: list[tuple[np.ndarray, ...]] = []
     if grid:
-        # all periods' candidates at once: one walk of the grammar for the whole slice
+        # all periods' candidates at once; of a chain of them, one period apart, the first answers for its whole stretch
+        grammar = Grammar(seq)
         doc, i, pos, period = (np.concatenate(c) for c in zip(*grid))
-        ahead = grammar.lce(pos, pos + period)
+        head = np.r_[True, (pos[1:] - pos[:-1] != period[1:]) | (period[1:] != period[:-1])]
+        chain = np.cumsum(head) - 1
+        ahead = grammar.lce(pos[head], pos[head] + period[head])
+        rest = ~head & (pos >= (pos[head] + ahead)[chain])
+        more = grammar.lce(pos[rest], pos[rest] + period[rest])
+        ask = np.flatnonzero(head | rest)
+        ahead = np.concatenate([ahead, more])[np.argsort(np.r_[np.flatnonzero(head), np.flatnonzero(rest)])]
+        doc, i, pos, period = doc[ask], i[ask], pos[ask], period[ask]
         behind = grammar.lce(pos - 1, pos + period - 1, backwards=True)
         length = ahead + behind + period
         ok = length >= np.maximum(LEAST, 2 * period)
-        found.append((doc[ok], (i - behind)[ok], length[ok], period[ok]))
+        if ok.any():
+            found.append((doc[ok], (i - behind)[ok], length[ok], period[ok]))
     out: list[list[tuple[int, int, int]]] = [[] for _ in docs]
     if found:
         doc, start, length, period = (np.concatenate(c) for c in zip(*found))

@@ -93,3 +93,25 @@ def test_nulls_and_edges(spark):
 def hashlib_empty():
     import hashlib
     return hashlib.sha256(b"").hexdigest()
+
+
+def test_repeats_that_are_no_runs_and_many_periods():
+    assert periodic.runs_of_slice([["a", "b", "a", "b"]]) == [[]]  # candidates, but no run in the whole slice
+    near = "a b c d x a b c d y".split()
+    assert periodic.runs_of_slice([near, near]) == [[], []]
+    rng = random.Random(11)
+    docs = [["x"] * 900, list("xxy") * 200 + ["z"] * 70 + list("xxy") * 90, ["u"] * 5 + ["v"] * 12 + ["u"] * 12 + ["v"] * 5]
+    for _ in range(20):  # stretches of one period side by side
+        words = []
+        for _ in range(12):
+            words += [rng.choice("abc") for _ in range(rng.randint(1, 4))] * rng.randint(2, 9) + ["s"] * rng.randint(0, 2)
+        docs.append(words)
+    assert periodic.runs_of_slice(docs) == [brute_runs(ws) for ws in docs]
+
+
+def test_grid_in_small_parts(monkeypatch):
+    rng = random.Random(5)
+    docs = [[rng.choice("ab") for _ in range(rng.randint(0, 80))] for _ in range(40)]
+    whole = periodic.runs_of_slice(docs)
+    monkeypatch.setattr(periodic, "GRID", 50)
+    assert periodic.runs_of_slice(docs) == whole == [brute_runs(ws) for ws in docs]
