@@ -31,8 +31,8 @@ from idloom.session import cut, scratch
 
 #: words longer than this are never in a lexicon and are merged one by one
 LONG_WORD = 64
-#: words whose ids a task remembers besides the lexicon
-CACHE_WORDS = 150_000
+#: words whose ids a task remembers besides the lexicon; a slice of 4 MB alone may bring more than 150,000
+CACHE_WORDS = 300_000
 
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _SPLITS_ELSEWHERE = re.compile(f"[{_SPACE}] [{_SPACE}]|[{_SPACE}] \\Z")
@@ -89,10 +89,12 @@ class Vocabulary:
         self.start = np.cumsum(self.length) - self.length
         self.bytes = np.frombuffer(b"".join(token.get(i, b"") for i in range(size)), np.uint8)
         self._rank_of: dict[int, int] = {}
+        # rank of each pair of bytes, the first pairs of every pre-token
+        self.byte_rank = self.ranks(np.repeat(self.of_byte, 256), np.tile(self.of_byte, 256)).astype(np.int32)
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair, the number of merges where a pair has none."""
-        key = left << 32 | right
+        key = left.astype(np.int64) << 32 | right
         at = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
         return np.where(self.pair[at] == key, self.rank[at], len(self.merged))
 
@@ -125,10 +127,14 @@ class Vocabulary:
         In every round each pre-token merges its leftmost pair of least rank.
         """
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        start, count = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        return self.merge_spans(np.frombuffer(b"".join(pieces), np.uint8), np.cumsum(sizes) - sizes, sizes)
+
+    def merge_spans(self, raw: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``merge`` of the pre-tokens that lie at ``first`` in the bytes ``raw``."""
+        start, count = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
         flat, done, none = [np.empty(0, np.uint32)], 0, len(self.merged)
         for i in np.flatnonzero(sizes > LONG_WORD):
-            flat.append(self.merge_long(pieces[i]))
+            flat.append(self.merge_long(raw[first[i]:first[i] + sizes[i]].tobytes()))
             start[i], count[i] = done, len(flat[-1])
             done += len(flat[-1])
         for low, width in ((0, 6), (6, 9), (9, 12), (12, 16), (16, 24), (24, LONG_WORD)):
@@ -136,35 +142,39 @@ class Vocabulary:
             for block in np.array_split(which, len(which) // 20_000 + 1):
                 if not len(block):
                     continue
-                n = sizes[block].copy()
-                inside = np.arange(width) < n[:, None]
-                ids = np.full((len(block), width), -1)
-                ids[inside] = self.of_byte[np.frombuffer(b"".join([pieces[i] for i in block.tolist()]), np.uint8)]
-                rank = np.full((len(block), width), none)
-                pair = inside[:, 1:]
-                rank[:, :-1][pair] = self.ranks(ids[:, :-1][pair], ids[:, 1:][pair])
-                rows = np.arange(len(block))
-                while len(rows):
-                    at = rank[rows].argmin(1)
-                    best = rank[rows, at]
-                    go = best < none
-                    rows, at, best = rows[go], at[go], best[go]
-                    if not len(rows):
+                size_of = sizes[block]
+                inside = np.arange(width) < size_of[:, None]
+                own_bytes = np.zeros((len(block), width), np.int32)
+                own_bytes[inside] = raw[_spans(first[block], size_of)]
+                ids = np.where(inside, self.of_byte[own_bytes], -1).astype(np.int32)
+                rank = np.full((len(block), width), none, np.int32)
+                rank[:, :-1] = np.where(inside[:, 1:], self.byte_rank[own_bytes[:, :-1] << 8 | own_bytes[:, 1:]], none)
+                # tokens of a pre-token hang in a list: a merge takes the right one out, columns keep their places
+                after = np.tile(np.arange(1, width + 1, dtype=np.int32), (len(block), 1))
+                before = after - 2
+                rows, open_rank = np.arange(len(block)), rank
+                while True:
+                    at = open_rank.argmin(1)
+                    best = open_rank[np.arange(len(rows)), at]
+                    go = np.flatnonzero(best < none)
+                    if not len(go):
                         break
-                    ids[rows, at] = self.merged[best]
-                    right = np.arange(width - 1) > at[:, None]  # drop the right half of the pair
-                    for table, fill in ((ids, -1), (rank, none)):
-                        own = table[rows]
-                        own[:, :-1] = np.where(right, own[:, 1:], own[:, :-1])
-                        own[:, -1] = fill
-                        table[rows] = own
-                    n[rows] -= 1
-                    for p in (at - 1, at):
-                        ok = (p >= 0) & (p + 1 < n[rows])
-                        rank[rows[ok], p[ok]] = self.ranks(ids[rows[ok], p[ok]], ids[rows[ok], p[ok] + 1])
-                        end = (p >= 0) & ~ok
-                        rank[rows[end], p[end]] = none
-                flat.append(ids[np.arange(width) < n[:, None]].astype(np.uint32))
+                    if len(go) < len(rows):
+                        rows, at, best, open_rank = rows[go], at[go], best[go], open_rank[go]
+                    k = np.arange(len(rows))
+                    gone = after[rows, at]
+                    right, left = after[rows, gone], before[rows, at]
+                    token = self.merged[best]
+                    ids[rows, at], ids[rows, gone] = token, -1
+                    after[rows, at] = right
+                    open_rank[k, at] = open_rank[k, gone] = none
+                    on = np.flatnonzero(right < size_of[rows])
+                    before[rows[on], right[on]] = at[on]
+                    open_rank[on, at[on]] = self.ranks(token[on], ids[rows[on], right[on]])
+                    on = np.flatnonzero(left >= 0)
+                    open_rank[on, left[on]] = self.ranks(ids[rows[on], left[on]], token[on])
+                n = (ids >= 0).sum(1)
+                flat.append(ids[ids >= 0].astype(np.uint32))
                 start[block], count[block] = done + np.cumsum(n) - n, n
                 done += len(flat[-1])
         return np.concatenate(flat), start, count
@@ -286,6 +296,24 @@ def _buffers(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(data or b"", np.uint8), at[:-1], np.diff(at)
 
 
+def _pre_tokens(words: list[str]) -> tuple[list[str], np.ndarray]:
+    """The pre-tokens of all words one after the other, and how many each word has.
+
+    Words that begin with a space and end with something else are cut in one go: put together they are a text that
+    falls apart at its spaces. The others are cut one by one. ``words`` is put into that order.
+    """
+    split = pattern().findall
+    plain = [len(w) > 1 and w[0] == " " and not w[-1].isspace() for w in words]
+    words[:] = [w for w, p in zip(words, plain) if p] + [w for w, p in zip(words, plain) if not p]
+    n = sum(plain)
+    found = split("".join(words[:n]))
+    ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
+    word_ends = np.cumsum(np.fromiter(map(len, words[:n]), np.int64, n))
+    parts = np.diff(np.r_[0, np.searchsorted(ends, word_ends) + 1])
+    alone = [split(w) for w in words[n:]]
+    return found + [p for own in alone for p in own], np.r_[parts, np.array([len(own) for own in alone], np.int64)]
+
+
 # ---- encoding ------------------------------------------------------------------------------------
 
 class Encoder:
@@ -306,20 +334,13 @@ class Encoder:
         """Ids of distinct words without the lexicon: all ids known so far, where each word's start, how many there are."""
         if len(self.known) > CACHE_WORDS:
             self._reset()
-        known, pieces = self.known, {}
+        known = self.known
         new = [w for w in words if w not in known]
-        split, put, at, parts = pattern().findall, pieces.setdefault, [], []
-        for w in new:
-            if w[1:].isalpha() and (w[0] == " " or w[0].isalpha()):  # one pre-token
-                at.append(put(w, len(pieces)))
-                parts.append(1)
-            else:
-                own = split(w)
-                at += [put(p, len(pieces)) for p in own]
-                parts.append(len(own))
         if new:
-            ids, start, size = self.vocabulary.merge([p.encode() for p in pieces])
-            at = np.array(at, np.int64)
+            found, parts = _pre_tokens(new)
+            pieces = pa.array(found, pa.large_string()).dictionary_encode()
+            ids, start, size = self.vocabulary.merge_spans(*_buffers(pieces.dictionary))
+            at = pieces.indices.to_numpy()
             ends = np.cumsum(parts)
             tokens = np.r_[0, np.cumsum(size[at])]
             total = tokens[ends] - tokens[ends - parts]
@@ -336,7 +357,7 @@ class Encoder:
         start, size = np.zeros(n, np.int64), np.zeros(n, np.int64)
         rank = self.lexicon.find(words) if self.lexicon else np.full(n, -1)
         hit, miss = np.flatnonzero(rank >= 0), np.flatnonzero(rank < 0)
-        flat, start[miss], size[miss] = self.words(words.take(pa.array(miss)).to_pylist())
+        flat, start[miss], size[miss] = self.words(words.take(pa.array(miss)).to_numpy(zero_copy_only=False).tolist())
         if not len(hit):
             return flat, start, size
         first = np.asarray(self.lexicon.at[rank[hit]])

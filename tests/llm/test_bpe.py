@@ -172,3 +172,28 @@ def test_packing_on_odd_rows(spark, path):
     assert sum(r["length"] for r in rows) == 3 + 3 and all(r.ids[-1:] == [1] or r.start + r["length"] < r.doc_tokens for r in rows)
     assert packing.pack(docs.limit(0), path).collect() == []
     assert packing.pack(docs, path, end_id=None).filter("doc_id IS NOT NULL").collect() == []
+
+
+def test_words_of_one_slice_stay_known(path, monkeypatch):
+    coder = bpe.Encoder(path)
+    words = [f" w{i:06d}" for i in range(151_000)]  # as many as 4 MB of text may hold
+    first = [x.copy() for x in coder.words(words)]
+    asked = []
+    merge = coder.vocabulary.merge_spans
+    monkeypatch.setattr(coder.vocabulary, "merge_spans", lambda raw, at, n: asked.append(len(n)) or merge(raw, at, n))
+    flat, start, size = coder.words(words[::-1] + [" new"])
+    assert sum(asked) == 1
+    for i in (0, 7, 150_999):
+        assert flat[start[-2 - i]:start[-2 - i] + size[-2 - i]].tolist() == first[0][first[1][i]:first[1][i] + first[2][i]].tolist()
+
+
+def test_words_cut_together_equal_words_cut_alone():
+    words = [" a", " b,c", " ", "head", " it's", " x\n", " \ny", "  ", " é ", " 12ab", " 'll", "\n", " \x1c", " \x1cq", "", " !?", " ß1'd"]
+    order = list(words)
+    found, parts = bpe._pre_tokens(order)
+    assert sorted(order) == sorted(words) and len(parts) == len(words)
+    at = 0
+    for w, n in zip(order, parts.tolist()):
+        assert found[at:at + n] == bpe.pattern().findall(w)
+        at += n
+    assert at == len(found)
