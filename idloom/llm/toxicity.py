@@ -31,6 +31,8 @@ SCORING_PRIOR = 0.1
 ROUNDS, STEP, RIDGE = 150, 0.05, 5e-4
 #: a feature must occur in so many rows, and its share among positives be so many standard errors off its share among all
 LEAST_ROWS, STANDARD_ERRORS = 4, 5.0
+#: sampled rows whose features the driver unpacks at a time; the others stay packed
+BLOCK = 512
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -43,10 +45,25 @@ def features(text: str | None) -> np.ndarray:
     return np.unique(np.array(marks, np.int64) & (FEATURES - 1))
 
 
-def _rows(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Features of all rows one after the other, and the row of each."""
-    return (np.concatenate([np.empty(0, np.int64), *lists]),
-            np.repeat(np.arange(len(lists)), [len(x) for x in lists]))
+def _blocks(lists: list[np.ndarray]):
+    """(first row, features, row of each) of ``BLOCK`` rows at a time."""
+    for i in range(0, len(lists), BLOCK):
+        some = lists[i:i + BLOCK]
+        yield np.concatenate(some).astype(np.int64), np.repeat(np.arange(i, i + len(some)), [len(x) for x in some])
+
+
+def _counts(lists: list[np.ndarray]) -> np.ndarray:
+    """In how many rows each feature occurs."""
+    out = np.zeros(FEATURES, np.int64)
+    for at, _ in _blocks(lists):
+        out += np.bincount(at, minlength=FEATURES)
+    return out
+
+
+def _rows(lists: list[np.ndarray], told: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Features marked in ``told`` of all rows one after the other, and the row of each."""
+    parts = [(at[told[at]], row[told[at]]) for at, row in _blocks(lists)]
+    return tuple(np.concatenate(x) for x in zip(*parts))
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -85,9 +102,7 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     if not positive or not unlabelled:
         return Model(np.zeros(FEATURES), start)
     n_p, n_u = len(positive), len(unlabelled)
-    at, row = _rows(positive + unlabelled)
-    told = _telling(np.bincount(at[row < n_p], minlength=FEATURES), n_p, np.bincount(at[row >= n_p], minlength=FEATURES), n_u)
-    at, row = at[told[at]], row[told[at]]
+    at, row = _rows(positive + unlabelled, _telling(_counts(positive), n_p, _counts(unlabelled), n_u))
     w = np.zeros(FEATURES + 1)
     w[-1] = start
     m, v = np.zeros_like(w), np.zeros_like(w)
@@ -149,8 +164,13 @@ def _sample(docs: DataFrame, ids: list[DataFrame], doc_id: str, text: str) -> li
     found = docs.select(docs[doc_id].alias("_id"), docs[text].cast("string").alias("_text")).join(
         F.broadcast(asked), "_id").dropDuplicates(["_id", "_kind"]).select("_kind", "_id", "_text")
     out: list[list[np.ndarray]] = [[] for _ in ids]
-    for r in found.mapInArrow(run, "kind int, f binary").collect():
-        out[r["kind"]].append(np.frombuffer(r["f"], "<i4").astype(np.int64))
+    for batch in found.mapInArrow(run, "kind int, f binary").toArrow().to_batches():
+        packed = batch.column(1).cast(pa.large_binary())
+        _, ends, data = packed.buffers()
+        at = np.frombuffer(ends, np.int64)[packed.offset:packed.offset + len(packed) + 1] // 4
+        flat = np.frombuffer(data or b"", "<i4")
+        for kind, a, b in zip(batch.column(0).to_pylist(), at.tolist(), at[1:].tolist()):
+            out[kind].append(flat[a:b])  # a view: the driver holds the rows once, packed
     return out
 
 

@@ -168,3 +168,26 @@ def test_quality_on_odd_rows(spark):
     assert len(rows) == 84 and out[71] == 1 and out[70] == 0
     assert {r.score for r in quality.predict(docs.limit(3), labels.limit(0), "quality").collect()} <= {0.5}
     assert quality.predict(docs.limit(0), labels, "quality").collect() == []
+
+
+def test_toxicity_training_keeps_its_sample_packed():
+    import tracemalloc
+    rng = np.random.default_rng(3)
+    packed = np.sort(rng.integers(0, toxicity.FEATURES, (5000, 400)).astype("<i4"), axis=1)
+    rows = list(packed)
+    tracemalloc.start()
+    toxicity.class_prior(rows[:1000], rows[1000:2000], rows[2000:])
+    toxicity.fit(rows[:1000], rows[2000:], 0.1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2 * packed.nbytes, f"{peak} bytes beside {packed.nbytes}"
+
+
+def test_toxicity_sample_equals_features_of_the_texts(spark):
+    docs = spark.createDataFrame([(1, "Some words here"), (2, None), (3, ""), (4, "other WORDS, longer"), (4, "other WORDS, longer")],
+                                 "doc_id long, text string").repartition(3)
+    ids = [spark.createDataFrame([(i,) for i in part], "_id long") for part in ([1, 3], [4], [2, 9])]
+    found = toxicity._sample(docs, ids, "doc_id", "text")
+    assert sorted(x.tolist() for x in found[0]) == sorted(toxicity.features(t).tolist() for t in ("Some words here", ""))
+    assert [x.tolist() for x in found[1]] == [toxicity.features("other WORDS, longer").tolist()]
+    assert [x.tolist() for x in found[2]] == [[]]
