@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from idloom.session import cut
 
-# fixed values of the contract: what cuts pieces, what cuts words
-PIECES, WORDS = "[.,;:!?\\n\\x0B\\f\\r]", "[ \\t]+"
+# fixed values of the contract: what cuts pieces (here all become line feeds), what cuts words (all become spaces)
+PIECES, WORDS = ".,;:!?\n\x0B\f\r", " \t"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: nodes expanded per open language in the first round, as a multiple of ``top``; growth of that number per round
 FIRST, GROWTH = 4, 4
@@ -36,31 +36,21 @@ BROADCAST_BYTES = 64 << 20
 
 def pieces(text: Column) -> Column:
     """array<array<string>>: the words of each piece."""
-    low = F.translate(F.coalesce(text.cast("string"), F.lit("")), _UPPER, _LOWER)
-    return F.transform(F.split(low, PIECES), lambda p: F.filter(F.split(p, WORDS), lambda w: w != F.lit("")))
+    low = F.translate(F.coalesce(text.cast("string"), F.lit("")), _UPPER + PIECES + WORDS,
+                      _LOWER + "\n" * len(PIECES) + " " * len(WORDS))
+    # one plain character cuts without a regular expression, which would be compiled for every piece
+    return F.transform(F.split(low, "\n"), lambda p: F.array_remove(F.split(p, " "), F.lit("")))
 
 
-def grams(ws: Column, k: int, make) -> Column:
-    """For every piece of ``ws`` and every start i, make(words, i) of its k-grams (i from 1)."""
-    return F.flatten(F.transform(ws, lambda w: F.when(F.size(w) >= k, F.transform(
-        F.sequence(F.lit(1), F.size(w) - (k - 1)), lambda i: make(w, i))).otherwise(F.array().cast(f"array<{_kind(make)}>"))))
+def _neighbours(xs: Column, make) -> Column:
+    """make(x, next x) for all neighbours in an array."""
+    n = F.greatest(F.size(xs) - 1, F.lit(0))
+    return F.zip_with(F.slice(xs, F.lit(1), n), F.slice(xs, F.lit(2), n), make)
 
 
-def _kind(make) -> str:
-    return getattr(make, "kind", "string")
-
-
-def _phrase(k: int):
-    def make(w, i):
-        return F.concat_ws(" ", *[F.element_at(w, i + j) for j in range(k)])
-    return make
-
-
-def _trigram(w, i):
-    return F.struct(_phrase(3)(w, i).alias("tri"), _phrase(2)(w, i).alias("pre"), _phrase(2)(w, i + 1).alias("suf"))
-
-
-_trigram.kind = "struct<tri:string,pre:string,suf:string>"
+def bigrams(ws: Column) -> Column:
+    """array<array<string>>: for every piece of ``ws`` its bigrams, one from each word but the last."""
+    return F.transform(ws, lambda w: _neighbours(w, lambda x, y: F.concat(x, F.lit(" "), y)))
 
 
 def _exact(a: str, l_: str, r_: str) -> Column:
@@ -72,12 +62,11 @@ def mine(docs: DataFrame, top: int = 2000, least: int = 10, share: int = 50, tex
     """(lang, rank, phrase, a, l, r, n, score) of each language's first ``top`` candidates by score, a, phrase."""
     spark = docs.sparkSession
     words = docs.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"), pieces(F.col(f"`{text}`")).alias("ws"))
-    item = "struct<phrase:string,w:long>"
-    counted = words.select("lang", F.explode(F.concat(
-        F.transform(F.flatten("ws"), lambda x: F.struct(x.alias("phrase"), F.lit(1).cast("long").alias("w"))),
-        F.transform(grams(F.col("ws"), 2, _phrase(2)), lambda x: F.struct(x.alias("phrase"), F.lit(1).cast("long").alias("w"))),
-        F.array(F.struct(F.lit(None).cast("string").alias("phrase"), F.size(F.flatten("ws")).cast("long").alias("w"))).cast(f"array<{item}>"),
-    )).alias("g")).groupBy("lang", F.col("g.phrase").alias("phrase")).agg(F.sum("g.w").alias("f"))
+    # the row without a phrase carries the number of words, which is known before the rows are made
+    sized = words.select("lang", "ws", F.size(F.flatten("ws")).cast("long").alias("m"))
+    counted = sized.select("lang", "m", F.explode(F.concat(
+        F.flatten("ws"), F.flatten(bigrams(F.col("ws"))), F.array(F.lit(None).cast("string")))).alias("phrase")).groupBy("lang", "phrase").agg(
+        F.sum(F.when(F.col("phrase").isNull(), F.col("m")).otherwise(F.lit(1).cast("long"))).alias("f"))
     base = cut(counted.filter(F.col("phrase").isNull() | (F.col("f") >= least)))
     n = base.filter(F.col("phrase").isNull()).select("lang", F.col("f").alias("n"))
     uni = base.filter(F.col("phrase").isNotNull() & ~F.col("phrase").contains(" ")).select("lang", "phrase", "f")
@@ -129,7 +118,10 @@ def mine(docs: DataFrame, top: int = 2000, least: int = 10, share: int = 50, tex
 
 def _count_trigrams(words: DataFrame, frontier: DataFrame, frontier_bytes: int, least: int) -> DataFrame:
     """(lang, tri, pre, suf, a) of the trigrams with a >= ``least`` that begin or end with a frontier bigram."""
-    occ = words.select("lang", F.explode(grams(F.col("ws"), 3, _trigram)).alias("t")).select("lang", "t.tri", "t.pre", "t.suf")
+    two = words.select("lang", bigrams(F.col("ws")).alias("b"))
+    # a trigram is its two bigrams; its text is made of those that are counted, after counting
+    occ = two.select("lang", F.explode(F.flatten(F.transform("b", lambda b: _neighbours(
+        b, lambda p, s: F.struct(p.alias("pre"), s.alias("suf")))))).alias("t")).select("lang", "t.pre", "t.suf")
     hits = frontier.select(F.col("lang").alias("_fl"), F.col("phrase").alias("_fp"), F.lit(True).alias("_hit"))
     if frontier_bytes <= BROADCAST_BYTES:
         hits = F.broadcast(hits)
@@ -138,7 +130,9 @@ def _count_trigrams(words: DataFrame, frontier: DataFrame, frontier_bytes: int,
     met = (occ.join(p, (occ["lang"] == p["_pl"]) & (occ["pre"] == p["_pp"]), "left")
            .join(s, (occ["lang"] == s["_sl"]) & (occ["suf"] == s["_sp"]), "left")
            .filter(F.col("_ph").isNotNull() | F.col("_sh").isNotNull()))
-    return cut(met.groupBy("lang", "tri", "pre", "suf").agg(F.count(F.lit(1)).alias("a")).filter(F.col("a") >= least))
+    counted = met.groupBy("lang", "pre", "suf").agg(F.count(F.lit(1)).alias("a")).filter(F.col("a") >= least)
+    tri = F.concat("pre", F.lit(" "), F.substring_index("suf", " ", -1))
+    return cut(counted.select("lang", tri.alias("tri"), "pre", "suf", "a"))
 
 
 def _settled(nodes: DataFrame, expanded: DataFrame, trigrams: DataFrame, bi: DataFrame, uni: DataFrame, share: int) -> DataFrame:

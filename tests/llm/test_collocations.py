@@ -48,3 +48,17 @@ def test_rounds_equal_brute_force(spark):
         got = sorted(tuple(r) for r in collocations.mine(docs, top=top, least=least).collect())
         assert got == brute(rows, top, least), (top, least)
     assert collocations.mine(docs.limit(0)).count() == 0
+
+
+def test_pieces_cut_at_plain_characters(spark):
+    from pyspark.sql import functions as F
+    texts = ["A b\tC,\td  e", "", None, "x.\n\x0b\f\ry!z?", " \t ", "É ÀB;c:D", "a\x1cb\xa0c d", "..", "\t\tq\tr\t"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, text string")
+    cut = docs.select("i", collocations.pieces(F.col("text")).alias("ws"))
+    up = str.maketrans(collocations._UPPER, collocations._LOWER)
+    for r in cut.collect():
+        low = (texts[r.i] or "").translate(up)
+        want = [re.findall(r"[^\x20\x09]+", p) for p in re.split("[.,;:!?\n\x0b\f\r]", low)]
+        assert [p for p in r.ws if p] == [p for p in want if p]
+    # no pattern that has to be compiled for every piece
+    assert "[" not in "".join(re.findall(r"split\(.*?, (.*?), -1\)", cut._jdf.queryExecution().optimizedPlan().toString()))
