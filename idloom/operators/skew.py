@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 HOT_ROWS = "idloom.skew.hotRows"
 _SALTS = 4096
 _HOT_KEYS = 4096
+#: buckets of hashed keys whose rows are counted before the keys themselves
+_BOUNDS = 1 << 16
 
 
 def hot_rows(df: DataFrame) -> int:
@@ -91,10 +93,12 @@ def attach_by(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 def salted(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Left or left semi join with a right side that has one row per key.
 
-    The rows per key are measured first. If those of every key fit one task it is a plain join; else the
-    right rows of keys above the threshold are broadcast, and the threshold rises with the number of rows so that
-    there are at most 4,096 of them.
+    The rows per key are bounded first, by those of its hash bucket: one scan that shuffles no keys. If every bucket
+    fits one task it is a plain join; else the keys are counted, the right rows of keys above the threshold are
+    broadcast, and the threshold rises with the number of rows so that there are at most 4,096 of them.
     """
+    if _most_in_bucket(left, keys) <= hot_rows(left):
+        return left.join(right, keys, how)
     counts = left.join(right.select(*keys), keys, "left_semi").groupBy(*keys).agg(F.count("*").alias("_n_left"))
     most, total = counts.agg(F.max("_n_left"), F.sum("_n_left")).first()
     if (most or 0) <= hot_rows(left):
@@ -102,3 +106,10 @@ def salted(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left"
     hit = right.withColumn("_met", F.lit(True)).join(counts, keys)
     found = attach(left, hit, keys, "_n_left", threshold=max(hot_rows(left), total // _HOT_KEYS)).drop("_n_left")
     return (found.filter("_met").select(*left.columns) if how == "left_semi" else found).drop("_met")
+
+
+def _most_in_bucket(df: DataFrame, keys: list[str]) -> int:
+    """Rows of the largest hash bucket of ``keys``: no key has more. NULL keys find no partner and do not count."""
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(_BOUNDS)).alias("_bucket")
+    sizes = df.dropna(subset=keys).groupBy(bucket).agg(F.count("*").alias("_n"))
+    return sizes.agg(F.max("_n")).first()[0] or 0

@@ -575,7 +575,7 @@ def mobile_update_number(fx):
 
 @query
 def manual_merge_log(fx):
-    out = G.manual_merge(fx.stored("merge_requests"), golden(fx), det(fx), fx.stored("protocols"), AS_OF)
+    out = G.manual_merge(fx.stored("merge_requests"), golden(fx), det(fx), fx.protocols, AS_OF)
     return out["log"].select("hisnumber", "source", "match_type", "document_number", "created_uuid")
 
 

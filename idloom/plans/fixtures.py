@@ -16,6 +16,9 @@ from idloom.session import scratch, tune
 
 TABLES = ("customer", "events", "supplier", "lineitem", "orders", "part", "documents")
 
+#: tables that are joined to a larger one by a unique key: its rows need not be sorted to look them up
+HASHED = ("orders", "part")
+
 #: point in time the statistics look back from
 AS_OF = "2024-01-31 00:00:00"
 
@@ -198,7 +201,8 @@ class Inputs:
         key = (self.spark.sparkContext.applicationId, path, self.state(name))
         if key not in _SCHEMAS:
             _SCHEMAS[key] = self.spark.read.parquet(path).schema
-        return self.spark.read.schema(_SCHEMAS[key]).parquet(path)
+        df = self.spark.read.schema(_SCHEMAS[key]).parquet(path)
+        return df.hint("shuffle_hash") if name in HASHED else df
 
     def state(self, name: str) -> tuple:
         """Size and time of a table's file or folder, which tell whether it is still the one that was read before."""

@@ -30,6 +30,17 @@ def test_joins_with_a_hot_key_lose_and_double_nothing(spark, hot):
     assert rows(salted(left, right, ["k"])) == want
 
 
+def test_balanced_keys_are_joined_once(spark, monkeypatch):
+    left = spark.createDataFrame([(i, f"k{i % 5}" if i % 7 else None) for i in range(40)], "id int, k string")
+    right = spark.createDataFrame([(f"k{i}", i) for i in range(3)], "k string, v int")
+    joins, join = [], type(left).join
+    monkeypatch.setattr(type(left), "join", lambda *a, **more: joins.append(1) or join(*a, **more))
+    got = salted(left, right, ["k"])
+    assert len(joins) == 1
+    assert sorted((r.id, r.v) for r in got.filter("v IS NOT NULL").collect()) == [
+        (i, i % 5) for i in range(40) if i % 7 and i % 5 < 3] and got.count() == 40
+
+
 def test_null_safe_attach(spark, hot):
     left = spark.createDataFrame([(i, "a", None if i % 2 else "x") for i in range(9)], "id int, p string, q string")
     groups = left.groupBy("p", "q").agg(F.count("*").alias("n"))

@@ -50,3 +50,14 @@ def test_filters_and_columns_reach_the_scan(spark):
 def test_one_row_per_key_is_kept_on_the_map_side(spark):
     p = plan(catalog.QUERIES["delta_latest"](Inputs(spark, SF)))
     assert p.count("WindowGroupLimit") == 2
+
+
+def test_protocols_that_are_only_counted_are_not_stored(spark, monkeypatch):
+    stored, keep = [], Inputs.stored
+    monkeypatch.setattr(Inputs, "stored", lambda fx, view: stored.append(view) or keep(fx, view))
+    catalog.QUERIES["manual_merge_log"](Inputs(spark, SF))
+    assert "merge_requests" in stored and "protocols" not in stored
+
+
+def test_protocols_are_looked_up_without_sorting_them(spark):
+    assert plan(Inputs(spark, SF).protocols).count("ShuffledHashJoin") == 2
