@@ -34,23 +34,33 @@ FIRST, GROWTH = 4, 4
 BROADCAST_BYTES = 64 << 20
 
 
+def _lowered(text: Column) -> Column:
+    """The text in lower case, a line feed for all that ends a piece and a space for all that ends a word."""
+    return F.translate(F.coalesce(text.cast("string"), F.lit("")), _UPPER + PIECES + WORDS,
+                       _LOWER + "\n" * len(PIECES) + " " * len(WORDS))
+
+
 def pieces(text: Column) -> Column:
     """array<array<string>>: the words of each piece."""
-    low = F.translate(F.coalesce(text.cast("string"), F.lit("")), _UPPER + PIECES + WORDS,
-                      _LOWER + "\n" * len(PIECES) + " " * len(WORDS))
     # one plain character cuts without a regular expression, which would be compiled for every piece
-    return F.transform(F.split(low, "\n"), lambda p: F.array_remove(F.split(p, " "), F.lit("")))
+    return F.transform(F.split(_lowered(text), "\n"), lambda p: F.array_remove(F.split(p, " "), F.lit("")))
+
+
+def tokens(text: Column) -> Column:
+    """array<string>: the words of all pieces in order, with a line feed wherever a piece ends within the text.
+
+    The same as ``pieces``, but cut in one go: nothing is evaluated for one piece or word at a time.
+    """
+    return F.array_remove(F.split(F.replace(_lowered(text), F.lit("\n"), F.lit(" \n ")), " "), F.lit(""))
 
 
-def _neighbours(xs: Column, make) -> Column:
-    """make(x, next x) for all neighbours in an array."""
-    n = F.greatest(F.size(xs) - 1, F.lit(0))
-    return F.zip_with(F.slice(xs, F.lit(1), n), F.slice(xs, F.lit(2), n), make)
+def _windows(ts: Column, *names: str) -> Column:
+    """array<struct>: each token with those that follow it, null beyond the end."""
+    return F.arrays_zip(*[F.slice(ts, F.lit(i + 1), F.size(ts)).alias(n) for i, n in enumerate(names)])
 
 
-def bigrams(ws: Column) -> Column:
-    """array<array<string>>: for every piece of ``ws`` its bigrams, one from each word but the last."""
-    return F.transform(ws, lambda w: _neighbours(w, lambda x, y: F.concat(x, F.lit(" "), y)))
+def _word(c: str) -> Column:
+    return F.coalesce(F.col(c) != "\n", F.lit(False))
 
 
 def _exact(a: str, l_: str, r_: str) -> Column:
@@ -61,11 +71,13 @@ def _exact(a: str, l_: str, r_: str) -> Column:
 def mine(docs: DataFrame, top: int = 2000, least: int = 10, share: int = 50, text: str = "text", lang: str = "lang") -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score) of each language's first ``top`` candidates by score, a, phrase."""
     spark = docs.sparkSession
-    words = docs.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"), pieces(F.col(f"`{text}`")).alias("ws"))
+    words = docs.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"), tokens(F.col(f"`{text}`")).alias("ts"))
     # the row without a phrase carries the number of words, which is known before the rows are made
-    sized = words.select("lang", "ws", F.size(F.flatten("ws")).cast("long").alias("m"))
-    counted = sized.select("lang", "m", F.explode(F.concat(
-        F.flatten("ws"), F.flatten(bigrams(F.col("ws"))), F.array(F.lit(None).cast("string")))).alias("phrase")).groupBy("lang", "phrase").agg(
+    sized = words.select("lang", F.concat("ts", F.array(F.lit(None).cast("string"))).alias("ts"),
+                         F.size(F.array_remove("ts", F.lit("\n"))).cast("long").alias("m"))
+    pairs = sized.select("lang", "m", F.inline(_windows(F.col("ts"), "x", "y"))).filter(F.col("x").isNull() | _word("x"))
+    counted = pairs.select("lang", "m", F.explode(
+        F.when(_word("x") & _word("y"), F.array("x", F.concat("x", F.lit(" "), "y"))).otherwise(F.array("x"))).alias("phrase")).groupBy("lang", "phrase").agg(
         F.sum(F.when(F.col("phrase").isNull(), F.col("m")).otherwise(F.lit(1).cast("long"))).alias("f"))
     base = cut(counted.filter(F.col("phrase").isNull() | (F.col("f") >= least)))
     n = base.filter(F.col("phrase").isNull()).select("lang", F.col("f").alias("n"))
@@ -118,10 +130,9 @@ def mine(docs: DataFrame, top: int = 2000, least: int = 10, share: int = 50, tex
 
 def _count_trigrams(words: DataFrame, frontier: DataFrame, frontier_bytes: int, least: int) -> DataFrame:
     """(lang, tri, pre, suf, a) of the trigrams with a >= ``least`` that begin or end with a frontier bigram."""
-    two = words.select("lang", bigrams(F.col("ws")).alias("b"))
+    threes = words.select("lang", F.inline(_windows(F.col("ts"), "x", "y", "z"))).filter(_word("x") & _word("y") & _word("z"))
     # a trigram is its two bigrams; its text is made of those that are counted, after counting
-    occ = two.select("lang", F.explode(F.flatten(F.transform("b", lambda b: _neighbours(
-        b, lambda p, s: F.struct(p.alias("pre"), s.alias("suf")))))).alias("t")).select("lang", "t.pre", "t.suf")
+    occ = threes.select("lang", F.concat("x", F.lit(" "), "y").alias("pre"), F.concat("y", F.lit(" "), "z").alias("suf"))
     hits = frontier.select(F.col("lang").alias("_fl"), F.col("phrase").alias("_fp"), F.lit(True).alias("_hit"))
     if frontier_bytes <= BROADCAST_BYTES:
         hits = F.broadcast(hits)

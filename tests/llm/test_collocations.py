@@ -62,3 +62,13 @@ def test_pieces_cut_at_plain_characters(spark):
         assert [p for p in r.ws if p] == [p for p in want if p]
     # no pattern that has to be compiled for every piece
     assert "[" not in "".join(re.findall(r"split\(.*?, (.*?), -1\)", cut._jdf.queryExecution().optimizedPlan().toString()))
+
+
+def test_words_are_cut_in_one_go_and_pieces_stay_apart(spark):
+    from pyspark.sql import functions as F
+    texts = ["Ab, c\td.. E\r\nf ", "", None, " !? ", "one"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string").select("i", collocations.tokens(F.col("text")).alias("ts"))
+    got = {r.i: r.ts for r in df.collect()}
+    assert got == {0: ["ab", "\n", "c", "d", "\n", "\n", "e", "\n", "\n", "f"], 1: [], 2: [], 3: ["\n", "\n"], 4: ["one"]}
+    # no function that is evaluated for one word at a time outside generated code
+    assert "lambda" not in df._jdf.queryExecution().executedPlan().toString()
