@@ -783,7 +783,7 @@ def _store(fx: Inputs, seeded: bool, protocols: bool = False) -> store.Store:
     if seeded:
         tables |= {"det": det(fx), "patients": golden(fx)}
     if protocols:
-        tables["protocols"] = fx.stored("protocols")
+        tables["protocols"] = fx.protocols
     s.commit("seed", **tables)
     return s
 

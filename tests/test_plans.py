@@ -61,3 +61,12 @@ def test_protocols_that_are_only_counted_are_not_stored(spark, monkeypatch):
 
 def test_protocols_are_looked_up_without_sorting_them(spark):
     assert plan(Inputs(spark, SF).protocols).count("ShuffledHashJoin") == 2
+
+
+def test_the_seed_takes_protocols_from_the_view(spark, monkeypatch):
+    stored, keep = [], Inputs.stored
+    monkeypatch.setattr(Inputs, "stored", lambda fx, view: stored.append(view) or keep(fx, view))
+    fx = Inputs(spark, SF)
+    seeded = catalog._store(fx, seeded=False, protocols=True).read("protocols")
+    assert "protocols" not in stored
+    assert seeded.exceptAll(fx.protocols.select(*seeded.columns)).isEmpty() and seeded.count() == fx.protocols.count()
